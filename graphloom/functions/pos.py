@@ -80,10 +80,15 @@ def is_noun_phrase(tags: Column, **number_check: Column) -> Column:
 
     Pass ``final_cd=<column>`` to judge numbers by :func:`final_number_check` in place of the plain ratio.
     """
-    flags = {name: test(tags) for name, test in REMOVAL_FLAGS.items()}
-    if "final_cd" in number_check:
-        flags["bad_cd_ratio"] = number_check["final_cd"]
-    keep = F.coalesce(ends_with_noun(tags), F.lit(False))
-    for flag in flags.values():
-        keep = keep & ~F.coalesce(flag, F.lit(False))
-    return keep
+
+    def judged(t: Column) -> Column:
+        flags = {name: test(t) for name, test in REMOVAL_FLAGS.items()}
+        if "final_cd" in number_check:
+            flags["bad_cd_ratio"] = number_check["final_cd"]
+        keep = F.coalesce(ends_with_noun(t), F.lit(False))
+        for flag in flags.values():
+            keep = keep & ~F.coalesce(flag, F.lit(False))
+        return keep
+
+    # Bound to one lambda variable: a pushed-down filter would otherwise build the tag list once per test.
+    return F.get(F.transform(F.array(tags), judged), F.lit(0))

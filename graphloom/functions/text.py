@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Token patterns. Unicode classes are spelled out because \w is ASCII-only by default.
@@ -41,6 +41,18 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def unroll(df: DataFrame, keep: list[str], items: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per list item, with the columns to keep and, on request, the item's position.
+
+    The outer form avoids the size test that Spark puts before a plain explode, which would evaluate the list again.
+    """
+    if position is None:
+        rows = df.select(*keep, F.explode_outer(items).alias(name))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(items).alias(position, name))
+    return rows.where(F.col(name).isNotNull())
+
+
 def strip_markup(html: Column) -> Column:
     """Page text: tags replaced by spaces, white space collapsed."""
     return F.trim(F.regexp_replace(F.regexp_replace(html, TAG_PATTERN, " "), SPACE_PATTERN, " "))

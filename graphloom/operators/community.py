@@ -95,7 +95,10 @@ def _quality(moved: DataFrame, loops: float, twice_m: float, resolution: float)
 
 
 def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds: int, tolerance: float, resolution: float):
-    """Move nodes until nobody gains; a round that lowers modularity is undone and ends the phase."""
+    """Move nodes until nobody gains, or until a pass over all of them gains less than the tolerance.
+
+    Returned is the best state seen, which is at worst the starting one.
+    """
     arcs = materialize(_arcs(edges))
     degrees = materialize(
         nodes.join(arcs.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")), "id", "left").select(
@@ -103,18 +106,18 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds:
         )
     )
     loops = arcs.where(F.col("a") == F.col("b")).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("w")).head().w
-    best = current = nodes.select("id", F.col("id").alias("community"))
-    best_quality = None
+    current = nodes.select("id", F.col("id").alias("community"))
+    best, history = current, []
     for turn in range(max_rounds):
         moved = materialize(_move_round(arcs, degrees, current, twice_m, turn, resolution))
         quality, unsettled = _quality(moved, float(loops), twice_m, resolution)
-        if best_quality is not None and quality < best_quality + tolerance and turn % 2 == 0:
-            # Two half rounds without progress: keep the better of the two states.
-            return current if quality > best_quality else best
-        if best_quality is None or quality >= best_quality:
-            best, best_quality = current, quality
-        if unsettled == 0:
-            return best
+        if not history or quality >= max(history):
+            best = current
+        history.append(quality)
+        # Two half rounds let every node move once. The next level takes up what little is left.
+        stalled = turn >= 2 and quality - history[turn - 2] < tolerance
+        if unsettled == 0 or stalled:
+            break
         current = moved.select("id", F.col("after").alias("community"))
     return best
 
@@ -128,7 +131,7 @@ def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame)
 
 
 def detect_communities(
-    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 16, tolerance: float = 1e-6,
+    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 20, tolerance: float = 1e-3,
     resolution: float = 1.0,
 ) -> DataFrame:
     """``(entity, level, community)`` of nested communities that raise weighted modularity, finest level first.

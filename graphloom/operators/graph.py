@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import SENTENCE_END, ngrams, words
+from graphloom.functions.text import SENTENCE_END, ngrams, unroll, words
 
 MENTIONS = "MENTIONS"
 
@@ -18,9 +18,9 @@ def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str,
 
     The gazetteer joins on the phrase. Spark sends it to every task only when its size allows that.
     """
-    sentences = df_sentences(docs, key, text)
+    sentences = sentences_of(docs, key, text)
     grams = [
-        sentences.select(key, "sentence", F.posexplode(ngrams(F.col("tokens"), n)).alias("position", "phrase"))
+        unroll(sentences, [key, "sentence"], ngrams(F.col("tokens"), n), "phrase", "position")
         for n in range(1, max_words + 1)
     ]
     found = grams[0]
@@ -30,8 +30,8 @@ def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str,
     return found.join(names, "phrase").select(key, "sentence", "position", "id")
 
 
-def df_sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    parts = docs.select(key, F.posexplode(F.split(F.col(text), SENTENCE_END)).alias("sentence", "_part"))
+def sentences_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    parts = unroll(docs, [key], F.split(F.col(text), SENTENCE_END), "_part", "sentence")
     return parts.select(key, "sentence", words(F.col("_part")).alias("tokens"))
 
 
@@ -191,27 +191,31 @@ def distribution(df: DataFrame, column: str, points: tuple[float, ...] = (0.25,
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """``(bin, low, high, n)`` for equal bins from minimum to maximum; the maximum falls in the last bin.
+    """``(bin, low, high, n)`` for equal bins from minimum to maximum, empty ones included; the maximum falls in the
+    last bin.
 
     Values are counted before they are placed, so the second pass reads one row per distinct value.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_x")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    bounds = values.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    bound = F.struct(F.col("lo"), F.col("hi"))
-    limits = bounds.select(bound.alias("b")).scalar()
-    placed = values.withColumn("_b", limits)
-    width = (F.col("_b.hi") - F.col("_b.lo")) / F.lit(float(bins))
-    # A constant column has no width: one bin holds everything.
-    place = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_x") - F.col("_b.lo")) / width), F.lit(bins - 1))
+    limits = values.agg(
+        F.min("_x").alias("lo"), ((F.max("_x") - F.min("_x")) / F.lit(float(bins))).alias("width")
     )
-    placed = placed.withColumn("bin", place.cast("int")).withColumn("_width", width)
-    return placed.groupBy("bin").agg(
-        F.min(F.col("_b.lo") + F.col("bin") * F.col("_width")).alias("low"),
-        F.min(F.col("_b.lo") + (F.col("bin") + 1) * F.col("_width")).alias("high"),
-        F.sum("_n").alias("n"),
+    placed = values.withColumn("_b", limits.select(F.struct("lo", "width")).scalar())
+    # A constant column has no width: its first bin holds everything.
+    place = F.when(F.col("_b.width") == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_x") - F.col("_b.lo")) / F.col("_b.width")), F.lit(bins - 1))
+    )
+    counted = placed.groupBy(place.cast("int").alias("bin")).agg(F.sum("_n").alias("_count"))
+    edges = limits.where(F.col("lo").isNotNull()).select(
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "width"
+    )
+    return edges.join(counted, "bin", "left").select(
+        "bin",
+        (F.col("lo") + F.col("bin") * F.col("width")).alias("low"),
+        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("high"),
+        F.coalesce("_count", F.lit(0)).alias("n"),
     )
 
 

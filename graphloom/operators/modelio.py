@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.text import unroll
+
 TEXT_SLOT = "{text}"
 
 TRIPLE_TEMPLATE = (
@@ -62,7 +64,7 @@ def parse_triples(responses: DataFrame, key: str) -> tuple[DataFrame, DataFrame]
 
     The third part keeps its commas. Blank lines are neither.
     """
-    lines = responses.select(key, F.explode(F.split("response", r"\r?\n")).alias("line")).where(F.trim("line") != "")
+    lines = unroll(responses, [key], F.split("response", r"\r?\n"), "line").where(F.trim("line") != "")
     fits = F.col("line").rlike(TRIPLE_PATTERN)
     part = lambda i: F.trim(F.regexp_extract("line", TRIPLE_PATTERN, i))
     good = lines.where(fits).select(key, part(1).alias("head"), part(2).alias("relation"), part(3).alias("tail"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.text import unroll
 from graphloom.operators.components import connected_components
-from graphloom.session import materialize
+from graphloom.session import materialize, shuffle_width
 
 MIN_ID_LENGTH = 4
 MAX_EDITS = 2
@@ -38,9 +39,9 @@ def _without_up_to_two(text: Column) -> Column:
 
 def _short_keys(ids: DataFrame) -> DataFrame:
     """Ids within two edits share a text that both reach by deleting at most two characters."""
-    return ids.where(F.length("low") <= SHORT_ID + MAX_EDITS).select(
-        "block", "low", F.explode(_without_up_to_two(F.col("low"))).alias("_text")
-    ).select("block", "low", F.xxhash64("_text").alias("key"))
+    short = ids.where(F.length("low") <= SHORT_ID + MAX_EDITS)
+    texts = unroll(short, ["block", "low"], _without_up_to_two(F.col("low")), "_text")
+    return texts.select("block", "low", F.xxhash64("_text").alias("key"))
 
 
 def _long_pairs(ids: DataFrame) -> DataFrame:
@@ -87,7 +88,9 @@ def duplicate_pairs(entities: DataFrame, block: str, key: str = "id") -> DataFra
     ids = entities.where(F.length(key) > MIN_ID_LENGTH).select(
         F.col(block).alias("block"), F.col(key).alias("id"), F.lower(key).alias("low")
     )
-    forms = ids.select("block", "low").distinct()
+    # A fixed width: the few bytes of the forms say little about the keys they turn into.
+    width = shuffle_width(entities.sparkSession)
+    forms = ids.select("block", "low").repartition(width, "block", "low").distinct()
     keys = _short_keys(forms)
     left = keys.select("block", "key", F.col("low").alias("a"))
     right = keys.select("block", "key", F.col("low").alias("b"))

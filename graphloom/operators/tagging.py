@@ -10,7 +10,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import words
+from graphloom.functions.text import unroll, words
 from graphloom.functions.wordlists import CLOSED_CLASS_TAGS, SUFFIX_TAGS
 
 DROPPED_TAGS = ("VB", "SP", "RB", "Co")
@@ -21,7 +21,8 @@ INLINE_LEXICON_ROWS = 5_000
 
 def suffix_tag(word: Column, rules: list[tuple[str, str]] = SUFFIX_TAGS) -> Column:
     """Digits are numbers; otherwise the first suffix rule that fits; otherwise a noun."""
-    tag = F.when(word.rlike("^[0-9]+$"), F.lit(NUMBER_TAG))
+    # Words below ":" begin with a digit or less: the pattern runs on those only.
+    tag = F.when((word < ":") & word.rlike("^[0-9]+$"), F.lit(NUMBER_TAG))
     for suffix, name in rules:
         tag = tag.when(word.endswith(suffix), F.lit(name))
     return tag.otherwise(F.lit(NOUN_TAG))
@@ -60,7 +61,7 @@ def tag_tokens(
         for row in sorted(head):
             by_tag[row.tag].append(row.word)
         return df.withColumn("tagged", tagged(F.col(tokens), dict(by_tag), rules))
-    vocabulary = df.select(key, F.explode(F.array_distinct(tokens)).alias("word"))
+    vocabulary = unroll(df, [key], F.array_distinct(tokens), "word")
     known = (
         vocabulary.join(lexicon.select("word", "tag"), "word")
         .groupBy(key)
@@ -92,9 +93,6 @@ def noun_ngrams(
     kept = F.filter("tagged", lambda t: ~t["tag"].isin(*dropped_tags))
     numbers = F.size(F.filter("tagged", lambda t: t["tag"] == NUMBER_TAG))
     base = df.select(key, kept.alias("_kept"), numbers.alias("_numbers"))
-    if number_factor is not None:
-        # A document without numbers keeps nothing: drop it before its n-grams are built.
-        base = base.where(F.col("_numbers") > 0)
 
     def grams(n: int) -> Column:
         ends = F.when(F.size("_kept") >= n, F.sequence(F.lit(n), F.size("_kept")))
@@ -114,7 +112,7 @@ def noun_ngrams(
 
     base = base.withColumn("_words", F.transform("_kept", lambda t: t["word"]))
     grams_column = F.concat(*[grams(n) for n in range(1, max_n + 1)])
-    return base.select(key, F.inline(grams_column))
+    return unroll(base, [key], grams_column, "_gram").select(key, "_gram.term", "_gram.n")
 
 
 def document_terms(
@@ -132,4 +130,4 @@ def document_terms(
 
 def word_terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """Plain word occurrences ``(key, term)``."""
-    return df.select(key, F.explode(words(F.col(text))).alias("term"))
+    return unroll(df, [key], words(F.col(text)), "term")

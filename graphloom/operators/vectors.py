@@ -247,13 +247,16 @@ def _plane_cells(units: DataFrame, tables: int, bits: int, seed: int) -> DataFra
 
 def knn_lsh(
     vectors: DataFrame, key: str = "id", embedding: str = "embedding", k: int = 10, cutoff: float = 0.95,
-    tables: int = 16, bits: int = 8, seed: int = 7, block_rows: int = BLOCK_ROWS,
+    recall: float = 0.99, bits: int = 12, seed: int = 7, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate neighbours: only vectors that share a cell in one of the hash tables are compared.
 
     Scores are exact; a neighbour that shares no cell is missed. Two vectors at angle ``a`` share a cell of one table
-    with probability ``(1 - a / pi) ** bits``.
+    with probability ``(1 - a / pi) ** bits``; the number of tables is what ``recall`` asks for at the cut-off. More
+    bits mean smaller cells and more tables.
     """
+    share = (1.0 - np.arccos(min(1.0, max(-1.0, cutoff))) / np.pi) ** bits
+    tables = 1 if share >= 1.0 else max(1, int(np.ceil(np.log(1.0 - recall) / np.log(1.0 - share))))
     units = unit_vectors(vectors, key, embedding)
     assigned = materialize(_plane_cells(units, tables, bits, seed))
     pairs = _compare_blocks(assigned, k, cutoff, block_rows).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import community, graph, modelio
 from graphloom.plans import frames
+from graphloom.session import spread
 from graphloom.plans.frames import TRADE_EDGES, TRADE_MEMBERSHIP, TRADE_MENTIONS, TRADE_NODES
 
 QUERIES = {}
@@ -29,7 +30,7 @@ NAMED_MEMBERS = f"SELECT entity, level, level || '-' || community AS community F
 @query("communities")
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detected communities of the term graph extracted from all documents."""
-    documents = frames.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(frames.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     terms = frames.gazetteer(spark, sf_dir)
     edges = graph.cooccurrence_edges(graph.entity_mentions(documents, terms, "doc_id", "text"), "doc_id")
     return community.detect_communities(edges, terms)

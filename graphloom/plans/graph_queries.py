@@ -11,7 +11,7 @@ from graphloom.plans import frames
 from graphloom.plans.frames import (
     GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
 )
-from graphloom.session import materialize
+from graphloom.session import materialize, spread
 
 QUERIES = {}
 ORACLE = {}
@@ -46,7 +46,7 @@ WHERE nxt <> id GROUP BY ALL
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return graph.entity_mentions(documents, frames.gazetteer(spark, sf_dir), "doc_id", "text")
 
 
@@ -129,7 +129,7 @@ def entities_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def entity_token_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     pairs = _mentions(spark, sf_dir).select("doc_id", F.col("id").alias("entity_id")).distinct()
     counts = graph.entities_per_document(documents, pairs)
     sized = documents.select("doc_id", text.token_count(F.col("text")).alias("tokens")).join(counts, "doc_id")
@@ -168,9 +168,10 @@ def degree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def histogram_sql(values: str, bins: int) -> str:
     return f"""
     WITH v AS (SELECT x::DOUBLE AS x FROM ({values})), l AS (SELECT min(x) AS lo, (max(x) - min(x)) / {bins}.0 AS w FROM v)
-    SELECT bin, round(min(lo + bin * w), 6) AS low, round(min(lo + (bin + 1) * w), 6) AS high, count(*) AS n
-    FROM (SELECT lo, w, CASE WHEN w = 0 THEN 0 ELSE least(floor((x - lo) / w), {bins - 1}) END::INT AS bin FROM v, l)
-    GROUP BY bin
+    SELECT b AS bin, round(lo + b * w, 6) AS low, round(lo + (b + 1) * w, 6) AS high, coalesce(n, 0) AS n
+    FROM l, (SELECT unnest(range({bins}))::INT AS b) LEFT JOIN (
+      SELECT CASE WHEN w = 0 THEN 0 ELSE least(floor((x - lo) / w), {bins - 1}) END::INT AS bin, count(*) AS n
+      FROM v, l GROUP BY 1) ON b = bin
     """
 
 
@@ -338,7 +339,7 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("knn_lsh")
 def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.knn_lsh(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=10, cutoff=0.3)
+    return vectors.knn_lsh(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=10, cutoff=0.3, bits=4)
 
 
 @query(

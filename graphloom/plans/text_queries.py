@@ -11,7 +11,7 @@ from graphloom.functions import pos, text
 from graphloom.functions.wordlists import CLOSED_CLASS_TAGS, ENGLISH_STOP_WORDS, SUFFIX_TAGS
 from graphloom.operators import pages, tagging, tfidf
 from graphloom.plans.frames import CORPUS, corpus, page_text, table
-from graphloom.session import materialize, work_dir
+from graphloom.session import materialize, spread, work_dir
 from graphloom.sources import sinks, tables
 
 QUERIES = {}
@@ -32,6 +32,10 @@ def _quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 STOP = _quoted(ENGLISH_STOP_WORDS)
 
@@ -104,7 +108,7 @@ def concat_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"SELECT doc_id, len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'))::INT AS tokens FROM documents",
 )
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
+    return _documents(spark, sf_dir).select("doc_id", text.token_count(F.col("text")).alias("tokens"))
 
 
 @query("head_n", "SELECT doc_id, source, text FROM documents ORDER BY doc_id LIMIT 250")
@@ -120,9 +124,8 @@ def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def explode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.posexplode(text.words(F.col("text"))).alias("position", "word")
-    )
+    rows = text.unroll(_documents(spark, sf_dir), ["doc_id"], text.words(F.col("text")), "word", "position")
+    return rows.select("doc_id", "position", "word")
 
 
 @query(
@@ -158,7 +161,7 @@ def array_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("feature_names", f"SELECT DISTINCT unnest({WORDS}) AS term FROM documents")
 def feature_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tagging.word_terms(table(spark, sf_dir, "documents"), "doc_id", "text").select("term").distinct()
+    return tagging.word_terms(_documents(spark, sf_dir), "doc_id", "text").select("term").distinct()
 
 
 @query(
@@ -206,16 +209,16 @@ def tag_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = tables.literal_frame(
         spark, [(word, tag) for tag, members in CLOSED_CLASS_TAGS.items() for word in members], "word string, tag string"
     )
-    tokens = table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("tokens"))
+    tokens = _documents(spark, sf_dir).select("doc_id", text.words(F.col("text")).alias("tokens"))
     tagged = tagging.tag_tokens(tokens, "doc_id", "tokens", lexicon)
-    rows = tagged.select("doc_id", F.posexplode("tagged").alias("position", "t"))
+    rows = text.unroll(tagged, ["doc_id"], F.col("tagged"), "t", "position")
     return rows.select("doc_id", "position", "t.word", "t.tag")
 
 
-# Two- and three-word phrases of the documents with their tags.
+# One- and two-word phrases of the documents with their tags.
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("tokens"))
-    grams = tokens.select("doc_id", F.explode(F.concat(text.ngrams(F.col("tokens"), 1), text.ngrams(F.col("tokens"), 2))).alias("sequence"))
+    tokens = _documents(spark, sf_dir).select("doc_id", text.words(F.col("text")).alias("tokens"))
+    grams = text.unroll(tokens, ["doc_id"], text.all_ngrams(F.col("tokens"), 2), "sequence")
     unique = grams.groupBy("sequence").agg(F.min("doc_id").alias("doc_id"))
     return unique.withColumn("tags", tagging.tags_of(tagging.tagged(F.split("sequence", " "))))
 
@@ -306,9 +309,9 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Rows meet by document before they are unrolled, so the counts need no shuffle of n-grams.
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    documents = _documents(spark, sf_dir).repartition("doc_id")
     tokens = documents.select("doc_id", text.words(F.col("text")).alias("tokens"))
-    grams = tokens.select("doc_id", F.explode(text.all_ngrams(F.col("tokens"), 3)).alias("gram"))
+    grams = text.unroll(tokens, ["doc_id"], text.all_ngrams(F.col("tokens"), 3), "gram")
     sized = grams.withColumn("n", F.size(F.split("gram", " ")))
     return sized.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("occurrences"))
 
@@ -331,7 +334,7 @@ def noun_ngrams_sql(gate: str) -> str:
 
 
 def _noun_ngrams(spark: SparkSession, sf_dir: str, factor: int | None) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    documents = _documents(spark, sf_dir).repartition("doc_id")
     terms = tagging.document_terms(documents, "doc_id", "text", number_factor=factor)
     return terms.groupBy("doc_id", "n", "term").agg(F.count(F.lit(1)).alias("occurrences"))
 
@@ -363,7 +366,7 @@ def tfidf_sql(source: str = "documents", key: str = "doc_id", max_df: float = 0.
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _documents(spark, sf_dir)
     terms = tagging.word_terms(documents.repartition("doc_id"), "doc_id", "text")
     return documents, tfidf.term_counts(terms, "doc_id")
 
@@ -407,7 +410,7 @@ def tfidf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def noun_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: text, tagged, noun n-grams with the number gate, scores."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _documents(spark, sf_dir)
     terms = tagging.document_terms(documents.repartition("doc_id"), "doc_id", "text")
     return tfidf.fit_transform(terms, documents, "doc_id").withColumn("score", F.round("score", 6))
 

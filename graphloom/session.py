@@ -46,6 +46,20 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than the cluster has cores; otherwise the frame itself.
+
+    Text work costs far more than the bytes suggest, so a small file in one split is worth one small shuffle. A large
+    table has splits enough and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage through a written table, so that a lost executor never replays earlier rounds.
 
