@@ -48,26 +48,23 @@ def modularity(edges: DataFrame, membership: DataFrame, resolution: float = 1.0)
     )
 
 
-def _move_round(arcs: DataFrame, degrees: DataFrame, current: DataFrame, twice_m: float, half: int, resolution: float):
+def _move_round(arcs: DataFrame, current: DataFrame, twice_m: float, half: int, resolution: float) -> DataFrame:
     """Best community of each node given everyone's current one; half of the nodes, by hash, may move.
 
-    Row: node, its community before and after, its degree, and its weight into the community it was in.
+    Row: node, its community before and after, its degree, and its weight into the community it was in. Three
+    shuffles: community totals, weights by node and community, best choice by node. Each is summed up before it moves.
     """
-    totals = current.join(degrees, "id").groupBy("community").agg(F.sum("k").alias("total"))
-    others = arcs.where(F.col("a") != F.col("b"))
-    into = (
-        others.join(current.select(F.col("id").alias("b"), "community"), "b")
-        .groupBy(F.col("a").alias("id"), "community")
-        .agg(F.sum("w").alias("into"))
-    )
+    totals = current.groupBy("community").agg(F.sum("k").alias("total"))
+    toward = arcs.where(F.col("a") != F.col("b")).join(current.select(F.col("id").alias("b"), "community"), "b")
+    toward = toward.select(F.col("a").alias("id"), "community", "w", "k", F.lit(False).alias("own"))
     # The own community is always a choice, also when no neighbour is in it.
-    stay = current.select("id", "community", F.lit(0).cast("long").alias("into"), F.lit(True).alias("own"))
-    choices = into.withColumn("own", F.lit(False)).unionByName(stay).groupBy("id", "community").agg(
-        F.sum("into").alias("into"), F.max("own").alias("own")
+    stay = current.select("id", "community", F.lit(0).cast("long").alias("w"), "k", F.lit(True).alias("own"))
+    choices = toward.union(stay).groupBy("id", "community").agg(
+        F.sum("w").alias("into"), F.max("k").alias("k"), F.max("own").alias("own")
     )
     rest = F.col("total") - F.when(F.col("own"), F.col("k")).otherwise(0)
     gain = F.round(F.col("into") - F.lit(resolution) * F.col("k") * rest / F.lit(twice_m), GAIN_DIGITS)
-    scored = choices.join(totals, "community").join(degrees, "id").withColumn("gain", gain)
+    scored = choices.join(totals, "community").withColumn("gain", gain)
     # Greatest gain first, then staying, then the smallest community id.
     best = F.min_by("community", F.struct(-F.col("gain"), ~F.col("own"), F.col("community")))
     picked = scored.groupBy("id").agg(
@@ -77,8 +74,10 @@ def _move_round(arcs: DataFrame, degrees: DataFrame, current: DataFrame, twice_m
         F.max("k").alias("k"),
     )
     may_move = F.pmod(F.xxhash64("id", F.lit(half)), F.lit(2)) == 0
-    return picked.select("id", "before", F.when(may_move, F.col("best")).otherwise(F.col("before")).alias("after"),
-                         (F.col("best") != F.col("before")).alias("unsettled"), "k", "inner")
+    return picked.select(
+        "id", "before", F.when(may_move, F.col("best")).otherwise(F.col("before")).alias("after"),
+        (F.col("best") != F.col("before")).alias("unsettled"), "k", "inner",
+    )
 
 
 def _quality(moved: DataFrame, loops: float, twice_m: float, resolution: float) -> tuple[float, int]:
@@ -99,17 +98,18 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds:
 
     Returned is the best state seen, which is at worst the starting one.
     """
-    arcs = materialize(_arcs(edges))
-    degrees = materialize(
-        nodes.join(arcs.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")), "id", "left").select(
-            "id", F.coalesce("k", F.lit(0)).alias("k")
+    arcs = _arcs(edges)
+    degrees = arcs.groupBy("a").agg(F.sum("w").alias("k"))
+    arcs = materialize(arcs.join(degrees, "a"))
+    loops = edges.where(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("w")).head().w * 2
+    current = materialize(
+        nodes.join(degrees.withColumnRenamed("a", "id"), "id", "left").select(
+            "id", F.col("id").alias("community"), F.coalesce("k", F.lit(0)).alias("k")
         )
     )
-    loops = arcs.where(F.col("a") == F.col("b")).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("w")).head().w
-    current = nodes.select("id", F.col("id").alias("community"))
     best, history = current, []
     for turn in range(max_rounds):
-        moved = materialize(_move_round(arcs, degrees, current, twice_m, turn, resolution))
+        moved = materialize(_move_round(arcs, current, twice_m, turn, resolution))
         quality, unsettled = _quality(moved, float(loops), twice_m, resolution)
         if not history or quality >= max(history):
             best = current
@@ -118,8 +118,8 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds:
         stalled = turn >= 2 and quality - history[turn - 2] < tolerance
         if unsettled == 0 or stalled:
             break
-        current = moved.select("id", F.col("after").alias("community"))
-    return best
+        current = moved.select("id", F.col("after").alias("community"), "k")
+    return best.select("id", "community")
 
 
 def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def detect_communities(
         if next_size == size and levels:
             break
         reached = materialize(
-            reached.withColumnRenamed("community", "id").join(parts, "id").select("entity", "community")
+            reached.select("entity", F.col("community").alias("id")).join(parts, "id").select("entity", "community")
         )
         levels.append(reached.select("entity", F.lit(level).alias("level"), "community"))
         if next_size == size:

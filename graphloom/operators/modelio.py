@@ -48,9 +48,7 @@ def prompt_requests(df: DataFrame, key: str, text: str, template: str, system: s
         key, F.lit(system).alias("system"), fill(template, F.col(text)).alias("prompt")
     )
     filled = filled.withColumn("request_id", F.sha2(F.concat_ws("\n", "system", "prompt"), 256))
-    requests = filled.groupBy("request_id").agg(
-        F.min("system").alias("system"), F.min("prompt").alias("prompt"), F.count(F.lit(1)).alias("n_sources")
-    )
+    requests = filled.groupBy("request_id", "system", "prompt").agg(F.count(F.lit(1)).alias("n_sources"))
     return requests, filled.select("request_id", key)
 
 

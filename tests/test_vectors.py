@@ -19,16 +19,16 @@ def brute(matrix, k, cutoff):
         near = []
         for j in range(len(matrix)):
             if i != j and norms[j] > 0:
-                s = round(float(matrix[i] @ matrix[j] / norms[i] / norms[j]), 8)
+                s = round(float(matrix[i] @ matrix[j] / norms[i] / norms[j]), 9)
                 if s >= cutoff:
                     near.append((-s, j))
         for rank, (s, j) in enumerate(sorted(near)[:k], 1):
-            out[(i, rank)] = (j, -s)
+            out[(i, rank)] = (j, pytest.approx(-s, abs=1e-7))
     return out
 
 
 def found(df):
-    return {(r.id, r["rank"]): (r.other, round(r.score, 8)) for r in df.collect()}
+    return {(r.id, r["rank"]): (r.other, r.score) for r in df.collect()}
 
 
 def clustered(seed, n=240, dims=16):
