@@ -73,7 +73,7 @@ def _long_pairs(ids: DataFrame) -> DataFrame:
         .where((F.col("at") >= 0) & (F.col("at") + F.col("len") <= F.length("a")))
         .select("block", "a", "n", "s", F.xxhash64(F.substr("a", F.col("at") + 1, F.col("len"))).alias("key"))
     )
-    return stored.join(looked, ["block", "n", "s", "key"]).where(F.col("a") < F.col("b")).select("block", "a", "b")
+    return stored.hint("merge").join(looked, ["block", "n", "s", "key"]).where(F.col("a") < F.col("b")).select("block", "a", "b")
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -94,7 +94,8 @@ def duplicate_pairs(entities: DataFrame, block: str, key: str = "id") -> DataFra
     keys = _short_keys(forms)
     left = keys.select("block", "key", F.col("low").alias("a"))
     right = keys.select("block", "key", F.col("low").alias("b"))
-    short = left.join(right, ["block", "key"]).where(F.col("a") < F.col("b")).select("block", "a", "b")
+    # Size estimates do not see how many keys an id makes: a merge join keeps them from being broadcast.
+    short = left.hint("merge").join(right, ["block", "key"]).where(F.col("a") < F.col("b")).select("block", "a", "b")
     # Verified before the repeats are removed: false candidates do not reach the shuffle.
     pairs = short.where(_near(F.col("a"), F.col("b"))).union(
         _long_pairs(forms).where(_near(F.col("a"), F.col("b")))

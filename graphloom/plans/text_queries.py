@@ -366,9 +366,8 @@ def tfidf_sql(source: str = "documents", key: str = "doc_id", max_df: float = 0.
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents = _documents(spark, sf_dir)
-    terms = tagging.word_terms(documents.repartition("doc_id"), "doc_id", "text")
-    return documents, tfidf.term_counts(terms, "doc_id")
+    terms = tagging.word_terms(_documents(spark, sf_dir).repartition("doc_id"), "doc_id", "text")
+    return table(spark, sf_dir, "documents"), tfidf.term_counts(terms, "doc_id")
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,9 +409,8 @@ def tfidf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def noun_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: text, tagged, noun n-grams with the number gate, scores."""
-    documents = _documents(spark, sf_dir)
-    terms = tagging.document_terms(documents.repartition("doc_id"), "doc_id", "text")
-    return tfidf.fit_transform(terms, documents, "doc_id").withColumn("score", F.round("score", 6))
+    terms = tagging.document_terms(_documents(spark, sf_dir).repartition("doc_id"), "doc_id", "text")
+    return tfidf.fit_transform(terms, table(spark, sf_dir, "documents"), "doc_id").withColumn("score", F.round("score", 6))
 
 
 BENCHMARK_TERMS = f"SELECT DISTINCT term FROM (SELECT unnest({WORDS}) AS term FROM benchmark)"
