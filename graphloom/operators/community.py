@@ -283,6 +283,9 @@ def _described(line: Column) -> Column:
     return F.concat(line, F.when(told, F.concat(F.lit(", description: "), F.col("description"))).otherwise(F.lit("")))
 
 
+# The formats of report lines and headings below.
+
+
 def node_line() -> Column:
     return _described(F.concat(F.lit("id: "), F.col("id"), F.lit(", type: "), F.coalesce("type", F.lit("None"))))
 

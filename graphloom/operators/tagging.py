@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import unroll, words
 from graphloom.functions.wordlists import CLOSED_CLASS_TAGS, SUFFIX_TAGS
 
+# Tags whose words leave before n-grams are built, and the tags the n-gram rules look at.
 DROPPED_TAGS = ("VB", "SP", "RB", "Co")
 NUMBER_TAG = "CD"
 NOUN_TAG = "NN"
@@ -31,13 +32,14 @@ def suffix_tag(word: Column, rules: list[tuple[str, str]] = SUFFIX_TAGS) -> Colu
 def lexicon_tag(
     word: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules: list[tuple[str, str]] = SUFFIX_TAGS
 ) -> Column:
-    """Tag of a single word from hash-set membership tests, one per tag."""
-    tag = None
+    """Tag of a single word from hash-set membership tests: one for the whole lexicon, then one per tag."""
+    if not lexicon:
+        return suffix_tag(word, rules)
+    known = F
     for name, members in lexicon.items():
-        test = word.isin(members)
-        tag = F.when(test, F.lit(name)) if tag is None else tag.when(test, F.lit(name))
-    fallback = suffix_tag(word, rules)
-    return fallback if tag is None else tag.otherwise(fallback)
+        known = known.when(word.isin(members), F.lit(name))
+    everything = [member for members in lexicon.values() for member in members]
+    return F.when(word.isin(everything), known).otherwise(suffix_tag(word, rules))
 
 
 def tagged(tokens: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules=SUFFIX_TAGS) -> Column:
@@ -74,8 +76,9 @@ def tag_tokens(
     return df.join(known, key, "left").withColumn("tagged", F.transform(tokens, pair)).drop("_known")
 
 
-def tags_of(tagged_tokens: Column) -> Column:
-    return F.transform(tagged_tokens, lambda t: t["tag"])
+def tags_of(tokens: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules=SUFFIX_TAGS) -> Column:
+    """Token list to its list of tags."""
+    return F.transform(tokens, lambda w: lexicon_tag(w, lexicon, rules))
 
 
 def noun_ngrams(

@@ -163,11 +163,11 @@ UNION ALL SELECT s_name, 'Supplier', 'S-' || s_nationkey FROM supplier
 
 
 def _variant():
-    return F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name")).otherwise(F.replace("p_name", F.lit(" "), F.lit("-")))
+    return F.when(F.col("l_linestatus") == "O", F.col("p_name")).otherwise(F.replace("p_name", F.lit(" "), F.lit("-")))
 
 
 def named_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linestatus")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
@@ -178,14 +178,14 @@ def named_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMED_EDGES = """
-SELECT CASE WHEN l_linenumber % 2 = 1 THEN p_name ELSE replace(p_name, ' ', '-') END AS src, 'SUPPLIED_BY' AS type,
+SELECT CASE WHEN l_linestatus = 'O' THEN p_name ELSE replace(p_name, ' ', '-') END AS src, 'SUPPLIED_BY' AS type,
        s_name AS dst
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 """
 
 
 def named_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("doc_id"), _variant().alias("entity_id")
@@ -194,7 +194,7 @@ def named_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMED_MENTIONS = """
 SELECT l_orderkey AS doc_id,
-       CASE WHEN l_linenumber % 2 = 1 THEN p_name ELSE replace(p_name, ' ', '-') END AS entity_id
+       CASE WHEN l_linestatus = 'O' THEN p_name ELSE replace(p_name, ' ', '-') END AS entity_id
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 

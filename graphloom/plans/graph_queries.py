@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
@@ -267,13 +267,13 @@ def term_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     "mean_pool",
     """
     SELECT label, dim, round(sum(x * mask) / greatest(sum(mask), 1e-9), 6) AS value FROM (
-      SELECT label, (CASE WHEN vec_id % 3 <> 0 THEN 1 ELSE 0 END)::DOUBLE AS mask,
+      SELECT label, (CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END)::DOUBLE AS mask,
              unnest(range(len(embedding)))::INT AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings)
     GROUP BY label, dim
     """,
 )
 def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = table(spark, sf_dir, "embeddings").withColumn("mask", (F.col("vec_id") % 3 != 0).cast("int"))
+    tokens = table(spark, sf_dir, "embeddings").withColumn("mask", (F.col("embedding")[0] > 0).cast("int"))
     pooled = vectors.mean_pool(tokens, "label", "mask", "embedding")
     long = pooled.select("label", F.posexplode("embedding").alias("dim", "value"))
     return long.withColumn("value", F.round("value", 6))
@@ -283,15 +283,19 @@ def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     "mean_pool_truncated",
     """
     SELECT label, dim, round(sum(x * mask) / greatest(sum(mask), 1e-9), 6) AS value FROM (
-      SELECT label, (CASE WHEN vec_id % 3 <> 0 THEN 1 ELSE 0 END)::DOUBLE AS mask,
-             unnest(range(len(embedding)))::INT AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings WHERE vec_id < 256)
+      SELECT label, (CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END)::DOUBLE AS mask,
+             unnest(range(len(embedding)))::INT AS dim, unnest(embedding)::DOUBLE AS x
+      FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS token_pos FROM embeddings)
+      WHERE token_pos < 32)
     GROUP BY label, dim
     """,
 )
 def mean_pool_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The length limit is the operator's feature: positions from 256 on are cut off."""
-    tokens = table(spark, sf_dir, "embeddings").withColumn("mask", (F.col("vec_id") % 3 != 0).cast("int"))
-    pooled = vectors.mean_pool(tokens, "label", "mask", "embedding", position="vec_id", max_length=256)
+    """The length limit is the operator's feature: a sequence is cut off after its first 32 tokens."""
+    tokens = table(spark, sf_dir, "embeddings").withColumn("mask", (F.col("embedding")[0] > 0).cast("int"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
+    tokens = tokens.withColumn("token_pos", place - 1)
+    pooled = vectors.mean_pool(tokens, "label", "mask", "embedding", position="token_pos", max_length=32)
     long = pooled.select("label", F.posexplode("embedding").alias("dim", "value"))
     return long.withColumn("value", F.round("value", 6))
 

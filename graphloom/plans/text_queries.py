@@ -217,19 +217,20 @@ def tag_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # One- and two-word phrases of the documents with their tags.
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = _documents(spark, sf_dir).select("doc_id", text.words(F.col("text")).alias("tokens"))
-    grams = text.unroll(tokens, ["doc_id"], text.all_ngrams(F.col("tokens"), 2), "sequence")
-    unique = grams.groupBy("sequence").agg(F.min("doc_id").alias("doc_id"))
-    return unique.withColumn("tags", tagging.tags_of(tagging.tagged(F.split("sequence", " "))))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    tokens = documents.select("doc_id", "lang", text.words(F.col("text")).alias("tokens"))
+    grams = text.unroll(tokens, ["doc_id", "lang"], text.all_ngrams(F.col("tokens"), 2), "sequence")
+    unique = grams.groupBy("sequence").agg(F.min("doc_id").alias("doc_id"), F.min("lang").alias("lang"))
+    return unique.withColumn("tags", tagging.tags_of(F.split("sequence", " ")))
 
 
 PHRASES = f"""
-SELECT sequence, min(doc_id) AS doc_id,
+SELECT sequence, min(doc_id) AS doc_id, min(lang) AS lang,
        list_transform(string_split(sequence, ' '), lambda x: {tag_case('x')}) AS tags
-FROM (SELECT doc_id, unnest(w) AS sequence FROM (SELECT doc_id, {WORDS} AS w FROM documents)
+FROM (SELECT doc_id, lang, unnest(w) AS sequence FROM (SELECT doc_id, lang, {WORDS} AS w FROM documents)
       UNION ALL
-      SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
-      FROM (SELECT doc_id, {WORDS} AS w FROM documents))
+      SELECT doc_id, lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+      FROM (SELECT doc_id, lang, {WORDS} AS w FROM documents))
 GROUP BY sequence
 """
 
@@ -254,8 +255,8 @@ def pos_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _phrases(spark, sf_dir).select("sequence", *flags, pos.ends_with_noun(F.col("tags")).alias("ends_noun"))
 
 
-# The URL a phrase is judged against: every third document's carries the hyphenated phrase.
-URL_SQL = "CASE WHEN doc_id % 3 = 0 THEN 'http://site/' || replace(sequence, ' ', '-') || '/' ELSE 'http://site/' || doc_id END"
+# The URL a phrase is judged against: that of a German phrase carries the hyphenated words.
+URL_SQL = "CASE WHEN lang = 'de' THEN 'http://site/' || replace(sequence, ' ', '-') || '/' ELSE 'http://site/' || doc_id END"
 
 
 @query(
@@ -272,7 +273,7 @@ def final_cd_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_url(phrases: DataFrame) -> DataFrame:
     tail = F.when(
-        F.col("doc_id") % 3 == 0, F.concat(F.replace("sequence", F.lit(" "), F.lit("-")), F.lit("/"))
+        F.col("lang") == "de", F.concat(F.replace("sequence", F.lit(" "), F.lit("-")), F.lit("/"))
     ).otherwise(F.col("doc_id").cast("string"))
     return phrases.withColumn("page", F.concat(F.lit("http://site/"), tail))
 
