@@ -131,7 +131,7 @@ def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame)
 
 
 def detect_communities(
-    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 20, tolerance: float = 1e-3,
+    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 20, tolerance: float = 5e-3,
     resolution: float = 1.0,
 ) -> DataFrame:
     """``(entity, level, community)`` of nested communities that raise weighted modularity, finest level first.
