@@ -96,7 +96,7 @@ def _quality(moved: DataFrame, loops: float, twice_m: float, resolution: float)
 def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds: int, tolerance: float, resolution: float):
     """Move nodes until nobody gains, or until a pass over all of them gains less than the tolerance.
 
-    Returned is the best state seen, which is at worst the starting one.
+    Returned are the best state seen, which is at worst the starting one, and what it gained over that.
     """
     arcs = _arcs(edges)
     degrees = arcs.groupBy("a").agg(F.sum("w").alias("k"))
@@ -119,7 +119,7 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds:
         if unsettled == 0 or stalled:
             break
         current = moved.select("id", F.col("after").alias("community"), "k")
-    return best.select("id", "community")
+    return best.select("id", "community"), max(history) - history[0]
 
 
 def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame) -> DataFrame:
@@ -132,14 +132,14 @@ def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame)
 
 def detect_communities(
     edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 20, tolerance: float = 5e-3,
-    resolution: float = 1.0,
+    level_gain: float = 5e-4, resolution: float = 1.0,
 ) -> DataFrame:
     """``(entity, level, community)`` of nested communities that raise weighted modularity, finest level first.
 
     ``edges`` is an undirected weighted graph ``(src, dst, weight)``. At each level nodes move to the neighbouring
     community with the greatest gain, half of them at a time, communities are split into connected parts, and each
-    part becomes a node of the next level with the summed weights. It ends when a level merges nothing. A community is
-    named by its smallest entity. All steps are joins and partial sums over written tables.
+    part becomes a node of the next level with the summed weights. It ends when a level would merge nothing or raise
+    modularity by less than ``level_gain``. A community is named by its smallest entity. All steps are joins and partial sums over written tables.
     """
     weight_sum = edges.agg(F.sum("weight").alias("w")).head().w
     base = materialize(nodes.select("id").distinct())
@@ -151,7 +151,9 @@ def detect_communities(
     reached = base.select(F.col("id").alias("entity"), F.col("id").alias("community"))
     levels: list[DataFrame] = []
     for level in range(max_levels):
-        moved = _local_moves(level_edges, level_nodes, twice_m, max_rounds, tolerance, resolution)
+        moved, gain = _local_moves(level_edges, level_nodes, twice_m, max_rounds, tolerance, resolution)
+        if levels and gain < level_gain:
+            break
         parts = materialize(_connected_parts(level_edges, level_nodes, moved))
         next_nodes = materialize(parts.select(F.col("community").alias("id")).distinct())
         next_size = next_nodes.count()
