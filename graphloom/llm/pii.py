@@ -22,8 +22,7 @@ SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\w|\.\d)"
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
-DAY_DATE = r"(?<![\w/.])\d{2}([/.])\d{2}\1\d{4}(?![\w/])"
-CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
+CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])"
 #: Days of 400 Gregorian years from 1800-01-01, as the two moduli of the dates' Feistel network.
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)
 
@@ -32,6 +31,11 @@ def _hash(key: str, kind: str, turn: Column, source: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), turn.cast("string"), source.cast("string")), 256)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _chars(value: Column) -> Column:
     return F.filter(F.split(value, ""), lambda c: c != "")
 
@@ -40,9 +44,7 @@ def permute_text(value: Column, key: str, kind: str) -> Column:
     """Feistel over the halves of a text; each round shifts the characters of one half within their classes."""
 
     def shifted(target: Column, source: Column, turn: Column) -> Column:
-        digest = _hash(key, kind, turn, source)
-
-        def one(c: Column, i: Column) -> Column:
+        def one(digest: Column, c: Column, i: Column) -> Column:
             by = F.conv(F.substr(digest, i % F.lit(16) * F.lit(4) + F.lit(1), F.lit(4)), 16, 10).cast("int") + i
             move = lambda first, size: F.char(F.lit(first) + (F.ascii(c) - F.lit(first) + by) % F.lit(size))
             return (
@@ -50,13 +52,13 @@ def permute_text(value: Column, key: str, kind: str) -> Column:
                 .when(c.between("A", "Z"), move(65, 26)).otherwise(c)
             )
 
-        return F.array_join(F.transform(_chars(target), one), "")
+        return _let(_hash(key, kind, turn, source), lambda d: F.array_join(F.transform(_chars(target), lambda c, i: one(d, c, i)), ""))
 
     half = F.floor(F.length(value) / 2).cast("int")
     start = F.struct(F.substr(value, F.lit(1), half).alias("l"), F.substr(value, half + F.lit(1), F.length(value)).alias("r"))
     turns = F.sequence(F.lit(1), F.lit(ROUNDS))
-    done = F.aggregate(turns, start, lambda s, t: F.struct(s["r"].alias("l"), shifted(s["l"], s["r"], t).alias("r")))
-    return F.concat(done["l"], done["r"])
+    step = lambda s, t: F.struct(s["r"].alias("l"), shifted(s["l"], s["r"], t).alias("r"))
+    return F.aggregate(turns, start, step, lambda s: F.concat(s["l"], s["r"]))
 
 
 def permute_number(left: Column, right: Column, left_size: Column, right_size: Column, key: str, kind: str) -> Column:
@@ -102,9 +104,10 @@ def _luhn(digits: Column) -> Column:
 
 def _card(m: Column, key: str) -> Column:
     digits = _digits(m)
+    check = lambda body: F.filter(F.array(*[F.lit(str(d)) for d in range(10)]), lambda d: _luhn(F.concat(body, d)))[0]
     body = permute_text(F.substr(digits, F.lit(1), F.length(digits) - F.lit(1)), key, "card")
-    check = F.filter(F.array(*[F.lit(str(d)) for d in range(10)]), lambda d: _luhn(F.concat(body, d)))[0]
-    return F.when(_luhn(digits), _refill(m, F.concat(body, check), "0-9")).otherwise(m)
+    new = _let(_let(body, lambda b: F.concat(b, check(b))), lambda n: _refill(m, n, "0-9"))
+    return F.when(_luhn(digits), new).otherwise(m)
 
 
 def _mod97(value: Column) -> Column:
@@ -118,9 +121,10 @@ def _iban(m: Column, key: str) -> Column:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country = F.substr(plain, F.lit(1), F.lit(2))
     body = permute_text(F.substr(plain, F.lit(5), F.length(plain)), key, "iban")
-    check = _pad(F.lit(98) - _mod97(F.concat(country, F.lit("00"), body)), 2)
+    check = lambda b: _pad(F.lit(98) - _mod97(F.concat(country, F.lit("00"), b)), 2)
+    new = _let(_let(body, lambda b: F.concat(country, check(b), b)), lambda n: _refill(m, n, "0-9A-Z"))
     good = F.length(plain).between(15, 34) & (_mod97(plain) == F.lit(1))
-    return F.when(good, _refill(m, F.concat(country, check, body), "0-9A-Z")).otherwise(m)
+    return F.when(good, new).otherwise(m)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -132,11 +136,11 @@ def _phone(m: Column, key: str) -> Column:
     base = lambda code: F.when(code >= 200, F.lit(200)).otherwise(F.lit(0)).cast("bigint")
     size = lambda code: F.when(code >= 200, F.lit(800)).otherwise(F.lit(200)).cast("bigint")
     left = (area - base(area)) * size(exchange) + exchange - base(exchange)
-    new = permute_number(left, line, size(area) * size(exchange), F.lit(10000).cast("bigint"), key, "phone")
-    codes = F.concat(
-        _pad(F.floor(new["l"] / size(exchange)) + base(area), 3), _pad(new["l"] % size(exchange) + base(exchange), 3), _pad(new["r"], 4)
+    codes = lambda new: F.concat(
+        front, _pad(F.floor(new["l"] / size(exchange)) + base(area), 3), _pad(new["l"] % size(exchange) + base(exchange), 3), _pad(new["r"], 4)
     )
-    return _refill(m, F.concat(front, codes), "0-9")
+    new = permute_number(left, line, size(area) * size(exchange), F.lit(10000).cast("bigint"), key, "phone")
+    return _let(_let(new, codes), lambda digits: _refill(m, digits, "0-9"))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -146,9 +150,10 @@ def _ssn(m: Column, key: str) -> Column:
     rank = area - F.lit(1) - F.when(area > 666, F.lit(1)).otherwise(F.lit(0))
     good = (area >= 1) & (area != 666) & (area < 900) & (group >= 1) & (serial >= 1)
     new = permute_number(rank * F.lit(99) + group - F.lit(1), serial - F.lit(1), F.lit(898 * 99).cast("bigint"), F.lit(9999).cast("bigint"), key, "ssn")
-    first = F.floor(new["l"] / F.lit(99)) + F.lit(1)
-    first = first + F.when(first >= 666, F.lit(1)).otherwise(F.lit(0))
-    return F.when(good, F.concat_ws("-", _pad(first, 3), _pad(new["l"] % F.lit(99) + F.lit(1), 2), _pad(new["r"] + F.lit(1), 4))).otherwise(m)
+    first = lambda n: F.floor(n["l"] / F.lit(99)) + F.lit(1)
+    area_of = lambda n: first(n) + F.when(first(n) >= 666, F.lit(1)).otherwise(F.lit(0))
+    text = lambda n: F.concat_ws("-", _pad(area_of(n), 3), _pad(n["l"] % F.lit(99) + F.lit(1), 2), _pad(n["r"] + F.lit(1), 4))
+    return F.when(good, _let(new, text)).otherwise(m)
 
 
 def _ipv4(m: Column, key: str) -> Column:
@@ -156,7 +161,7 @@ def _ipv4(m: Column, key: str) -> Column:
     word = F.lit(65536).cast("bigint")
     new = permute_number(octets[0] * F.lit(256) + octets[1], octets[2] * F.lit(256) + octets[3], word, word, key, "ip")
     high, low = (lambda x: F.floor(x / F.lit(256)).cast("string")), (lambda x: (x % F.lit(256)).cast("string"))
-    return F.concat_ws(".", high(new["l"]), low(new["l"]), high(new["r"]), low(new["r"]))
+    return _let(new, lambda n: F.concat_ws(".", high(n["l"]), low(n["l"]), high(n["r"]), low(n["r"])))
 
 
 def _date(m: Column, key: str, patterns: tuple[str, ...]) -> Column:
@@ -167,7 +172,7 @@ def _date(m: Column, key: str, patterns: tuple[str, ...]) -> Column:
         place = F.date_diff(day, F.lit(FIRST_DAY).cast("date")).cast("bigint")
         a, b = DAYS
         new = permute_number(F.floor(place / F.lit(b)), place % F.lit(b), F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), key, "date")
-        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (new["l"] * F.lit(b) + new["r"]).cast("int"))
+        moved = _let(new, lambda n: F.date_add(F.lit(FIRST_DAY).cast("date"), (n["l"] * F.lit(DAYS[1]) + n["r"]).cast("int")))
         out = F.when(place.between(0, a * b - 1), F.date_format(moved, pattern)).otherwise(out)
     return out
 
