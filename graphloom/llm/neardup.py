@@ -10,7 +10,6 @@ and the full sets confirm the others.
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import hash_words, map_batches, mix64, rolling, texts
 from graphloom.operators.components import connected_components
-from graphloom.session import materialize, shuffle_width
+from graphloom.session import materialize
 
 SHINGLE = 5
 ROWS, BANDS = 6, 44
@@ -29,8 +28,6 @@ BASE = 1.02
 TOP, OFFSET = 4095, 256
 #: Pairs stay unless the likelihood of the wanted similarity is below the best one's by half of this (over 6 deviations).
 DOUBT = 40.0
-#: Members of a bucket that meet all others at once; of larger buckets, PIVOTS members meet all others in each round.
-ALL_PAIRS, PIVOTS = 32, 32
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -181,8 +178,8 @@ def near_duplicates(
 
     Equal sets are one representative from the start. In a bucket every member meets the smallest (a number of pairs
     that is linear in the bucket), links are confirmed and components merged; buckets whose members then lie in more
-    than one component go on, in all pairs where they are small, else with further pivots until every pair of different
-    components has met. No group is capped and none is gathered in one task.
+    than one component go on by their rarest shingles (prefix filter), which is exact. No group is capped and none is
+    gathered in one task.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text")).where("id IS NOT NULL")
     table = materialize(sketches(rows, "id", "text", width))
@@ -196,21 +193,19 @@ def near_duplicates(
     live = materialize(buckets.join(stat.hint("merge"), "bucket").select("bucket", "id", "n", F.col("pivot.id").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
     ratio = lambda x, y: 100 * F.least(x, y) >= hundredths * F.greatest(x, y)
     star = live.where(F.col("id") != F.col("pivot")).where(ratio(F.col("n"), F.col("pivot_n")))
-    links = [materialize(_confirmed(materialize(_plausible(star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), reps, hundredths)), sets, hundredths, width))]
+    star = star.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    links = materialize(_confirmed(materialize(_plausible(star, reps, hundredths)), sets, hundredths, width))
     # pivots have met their buckets; what is left is pairs of other members in different components
-    left = live.where(F.col("id") != F.col("pivot")).select("bucket", "id", "n")
-    found = None
-    while True:
-        edges = reduce(DataFrame.union, links)
-        found = materialize(connected_components(edges, src="a", dst="b", node="id"))
-        labelled = left.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        stat = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k"))
-        left = materialize(labelled.join(stat.where("lo < hi").select("bucket", "k").hint("merge"), "bucket"))
-        if left.limit(1).count() == 0:
-            break
-        pairs, left = _next_pairs(left, ratio)
-        pairs = materialize(_plausible(pairs, reps, hundredths))
-        links.append(materialize(_confirmed(pairs, sets, hundredths, width)))
+    found = materialize(connected_components(links, src="a", dst="b", node="id"))
+    labelled = live.where(F.col("id") != F.col("pivot")).select("bucket", "id").join(found, "id", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "id"))
+    split = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    open_ids = labelled.join(split.select("bucket").hint("merge"), "bucket").groupBy("id").agg(F.first("component").alias("component"))
+    open_ids = materialize(open_ids)
+    if open_ids.limit(1).count():
+        pairs = materialize(_rare_pairs(open_ids, reps, sets, hundredths, width))
+        more = materialize(_confirmed(materialize(_plausible(pairs, reps, hundredths)), sets, hundredths, width))
+        found = materialize(connected_components(links.union(more), src="a", dst="b", node="id"))
 
     component = groups.select("same", F.col("s.id").alias("rep")).join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     named = component.select("same", F.coalesce("component", "rep").alias("component"))
@@ -219,17 +214,28 @@ def near_duplicates(
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-def _next_pairs(left: DataFrame, ratio) -> tuple[DataFrame, DataFrame]:
-    """The pairs of this round and what remains after it."""
-    small = left.where(F.col("k") <= ALL_PAIRS)
-    large = left.where(F.col("k") > ALL_PAIRS)
-    pivots = large.groupBy("bucket").agg(F.slice(F.sort_array(F.collect_set(F.pmod(F.xxhash64("id"), F.lit(1 << 16)))), 1, PIVOTS).alias("low"))
-    marked = large.join(pivots.hint("merge"), "bucket").withColumn("is_pivot", F.array_contains("low", F.pmod(F.xxhash64("id"), F.lit(1 << 16)))).drop("low")
-    marked = materialize(marked)
-    fields = ("bucket", "id", "n", "component")
-    meet = lambda one, other: (
-        one.select(*fields).toDF("bucket", "a", "n_a", "c_a").join(other.select(*fields).toDF("bucket", "b", "n_b", "c_b").hint("merge"), "bucket")
-        .where("c_a != c_b AND a != b").where(ratio(F.col("n_a"), F.col("n_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
-    pairs = meet(small, small).union(meet(marked.where("is_pivot"), marked)).distinct()
-    return pairs, marked.where("NOT is_pivot").select("bucket", "id", "n")
+def _rare_pairs(members: DataFrame, reps: DataFrame, docs: DataFrame, hundredths: int, width: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``(id, component)`` members that lie in different components and may be linked.
+
+    Two sets that are alike enough share one of their rarest shingles: if both are put in one order, rarest first, the
+    first common one has so many behind it in either set that the wanted overlap can still be reached. Members of a
+    large family that differ in rare shingles therefore never meet, however much they have in common.
+    """
+
+    def items(batch: pa.RecordBatch) -> dict:
+        sets = [shingles(value, width) for value in texts(batch, "text")]
+        return {"id": np.repeat(batch.column("id").to_numpy(), [len(x) for x in sets]), "item": np.concatenate(sets).view(np.int64)}
+
+    flat = materialize(map_batches(docs.join(members, "id", "left_semi"), items, "id long, item long"))
+    counts = flat.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    placed = flat.join(counts.hint("merge"), "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("items"))
+    # a set of n has at most n - ceil(share * n) + 1 places where its first common shingle can lie
+    front = F.slice("items", 1, (F.size("items") - F.ceil(F.size("items") * hundredths / 100) + 1).cast("int"))
+    firsts = placed.select("id", F.size("items").alias("n"), F.posexplode(front).alias("place", "cell")).where("cell.df > 1")
+    firsts = firsts.select("id", "n", "place", F.col("cell.item").alias("item")).join(members.hint("merge"), "id")
+    firsts = materialize(firsts)
+    one, other = (firsts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "place", "component")], F.col("item")) for x in "ab")
+    reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    pairs = one.join(other.hint("merge"), "item").where("component_a < component_b")
+    pairs = pairs.where(reach * (100 + hundredths) >= hundredths * (F.col("n_a") + F.col("n_b")))
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
