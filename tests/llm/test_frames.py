@@ -1,0 +1,146 @@
+"""Operators over small frames: nulls, empty and repeated rows, ties, clashing columns, and results against plain code."""
+
+import hashlib
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from graphloom.llm import bpe, fingerprint, language, licenses, neardup, neighbours, packing, pii, quality, substrings
+from tests.llm.sql import compare
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+LONG = " ".join(f"w{i}" for i in range(120))
+ROWS = [(1, LONG), (2, "start " + LONG), (2, "start " + LONG), (3, None), (4, ""), (5, LONG + " end"), (None, LONG), (6, "a b")]
+CLASH = ["same", "bucket", "id", "key", "lo", "text2", "_x"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    frame = spark.createDataFrame(ROWS, "doc_id long, text string")
+    return frame.select("*", *[F.lit(1).alias(name) for name in CLASH])
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if n.startswith("op")))
+def test_query_equals_sql(spark, name):
+    compare(spark, SF_DIR, QUERIES[name], ORACLE[name])
+
+
+def test_substrings(docs, empty):
+    found = {(r.doc_id, r.n_words, r.n_removed) for r in substrings.digests(docs).collect()}
+    assert found == {(1, 120, 0), (2, 121, 120), (3, 0, 0), (4, 0, 0), (5, 121, 120), (None, 120, 0), (6, 2, 0)}
+    assert substrings.digests(empty).count() == 0
+    stripped = substrings.strip_repeats(docs)
+    assert stripped.columns == docs.columns
+    assert sorted(str(r.text) for r in stripped.collect()) == sorted(str(x) for x in [LONG, "start", "start", None, "", "end", LONG, "a b"])
+
+
+def test_near_duplicates(docs, empty):
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs, 85).collect()}
+    assert found == {1: (116, 1, True), 2: (117, 1, False), 3: (0, 3, True), 4: (0, 4, True), 5: (117, 1, False), 6: (1, 6, True)}
+    assert neardup.near_duplicates(empty).count() == 0
+
+
+def test_pseudonyms(spark, docs, empty):
+    text = "mail a.b1@c.de and 4111 1111 1111 1111, 4111 1111 1111 1112, +1 (212) 555-0100, 10.0.0.1, 2024-02-29, 2023-02-29, v 3.0."
+    frame = spark.createDataFrame([(1, text), (2, text), (3, None), (4, "clean text, version 3.")], "doc_id long, text string")
+    rows = pii.pseudonymise(frame, count="n").collect()
+    assert rows[0].text == rows[1].text and rows[0].n == 5 and (rows[2].text, rows[2].n) == (None, 0)
+    assert rows[3].text == "clean text, version 3." and rows[3].n == 0
+    for value in ("a.b1@", "4111 1111 1111 1111", "(212) 555-0100", "10.0.0.1", "2024-02-29"):
+        assert value not in rows[0].text
+    for value in ("@c.de", "4111 1111 1111 1112", "2023-02-29", "v 3.0."):
+        assert value in rows[0].text
+    assert [c if not c.isalnum() else "x" for c in rows[0].text if c not in "0123456789"][:9] == [c if not c.isalnum() else "x" for c in text if c not in "0123456789"][:9]
+    assert pii.pseudonymise(docs).columns == docs.columns and pii.pseudonymise(empty).count() == 0
+
+
+def test_pseudonyms_are_permutations(spark):
+    dates = spark.range(0, 146097, 97).select(F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("a"))
+    made = dates.select(pii.pseudonym(F.col("a"), "k").alias("b"))
+    assert made.distinct().count() == dates.count()
+    assert made.where(F.try_to_timestamp("b", F.lit("yyyy-MM-dd")).isNull()).count() == 0
+    codes = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("a"))
+    assert codes.select(pii.permute_text(F.col("a"), "k", "t")).distinct().count() == 1000
+
+
+def test_neighbours(spark):
+    nan, inf = float("nan"), math.inf
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [0.5, 2.0]), (20, [1.0, 1.0]), (None, [9.0, 9.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(1))
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=3, block_rows=2).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 1.0), (20, 1, 8, 2.5), (20, 2, 0, 1.0), (20, 3, 1, 1.0)]
+    assert neighbours.nearest(frame.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_bpe_round_trip(docs, empty):
+    encoded = bpe.encode_documents(docs, "byte_bpe_multi_50k.tiktoken")
+    assert {(r.doc_id, r.decoded_sha256) for r in encoded.collect()} == {(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ROWS}
+    decoded = bpe.decode_documents(encoded, "byte_bpe_multi_50k.tiktoken")
+    assert {(r.doc_id, r.text) for r in decoded.collect()} == {(i, t or "") for i, t in ROWS}
+    assert bpe.encode_documents(empty, "byte_bpe_multi_50k.tiktoken").count() == 0
+
+
+def test_fingerprints(docs, empty, spark):
+    found = fingerprint.edited_fingerprints(docs).collect()
+    ordered = sorted(((i, t or "") for i, t in ROWS), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    wanted = []
+    for (i, t), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
+        cut = len(t) // 4
+        wanted.append((i, len(t), hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()))
+    assert sorted(map(str, wanted)) == sorted(str((r.doc_id, r.n_chars, r.edited_sha256)) for r in found)
+    assert fingerprint.edited_fingerprints(empty).count() == 0
+    assert fingerprint.edited_fingerprints(docs.where("doc_id = 1")).collect()[0].near_next == 1.0
+
+
+def test_licenses_and_language(docs, empty):
+    assert licenses.license_spans(docs).count() == 0 and licenses.license_spans(empty).count() == 0
+    labelled = docs.withColumn("lang", F.when(F.col("doc_id") < 5, "en"))
+    names, prototypes = language.fit(labelled)
+    found = {(r.doc_id, r.lang_pred) for r in language.predict(docs, names, prototypes).collect()}
+    assert names == ["en"] and {(3, "und"), (4, "und"), (1, "en"), (None, "en")} <= found
+    names, prototypes = language.fit(labelled.where("false"))
+    assert {r.lang_pred for r in language.predict(docs, names, prototypes).collect()} == {"und"}
+
+
+def test_packing(docs, empty):
+    rows = packing.pack_documents(docs, "word_bpe_49k.json", 64).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_sequence.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(n for _, n in parts) <= 64
+    assert {(r.doc_id, r.length) for r in rows if r.doc_id in (3, 4)} == {(3, 1), (4, 1)}
+    assert packing.pack_documents(empty, "word_bpe_49k.json").count() == 0
+
+
+def test_quality_and_language_held_out(spark):
+    labels = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.1')}/labels.parquet")
+    scored = QUERIES["op8_quality"](spark, SF_DIR.replace("0.001", "0.1")).where("held_out").join(labels, "doc_id")
+    assert scored.where("predicted = quality").count() >= 0.97 * scored.count()
+    langs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    predicted = QUERIES["op9_language"](spark, SF_DIR).where("held_out").join(langs, "doc_id")
+    assert predicted.where("lang_pred = lang").count() >= 0.95 * predicted.count()
+
+
+def test_pipeline_stages_keep_columns(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        kept = {r.doc_id for r in out.select("doc_id").collect()}
+        assert kept <= ids and len(kept) > 0.4 * len(ids), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == ids
+    assert os.path.basename(SF_DIR) == "sf0.001"
