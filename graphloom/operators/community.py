@@ -5,6 +5,8 @@ Membership is the long table ``(entity, level, community)``, one row per entity
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,6 @@ from graphloom.operators.components import connected_components
 from graphloom.session import materialize
 
 REPORT_LEVELS = (0, 1, 4)
-LINES_PER_TEXT = 2_000
 GAIN_DIGITS = 9
 
 
@@ -93,10 +94,10 @@ def _quality(moved: DataFrame, loops: float, twice_m: float, resolution: float)
     return (row.inner + loops) / twice_m - resolution * row.squares / (twice_m * twice_m), row.unsettled
 
 
-def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds: int, tolerance: float, resolution: float):
-    """Move nodes until nobody gains, or until a pass over all of them gains less than the tolerance.
+def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, tolerance: float, resolution: float) -> DataFrame:
+    """Move nodes until nobody gains, or until the best quality rose by less than the tolerance in two half rounds.
 
-    Returned are the best state seen, which is at worst the starting one, and what it gained over that.
+    Returned is the best state seen, which is at worst the starting one.
     """
     arcs = _arcs(edges)
     degrees = arcs.groupBy("a").agg(F.sum("w").alias("k"))
@@ -108,18 +109,18 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, max_rounds:
         )
     )
     best, history = current, []
-    for turn in range(max_rounds):
+    for turn in count():
         moved = materialize(_move_round(arcs, current, twice_m, turn, resolution))
         quality, unsettled = _quality(moved, float(loops), twice_m, resolution)
         if not history or quality >= max(history):
             best = current
         history.append(quality)
-        # Two half rounds let every node move once. The next level takes up what little is left.
-        stalled = turn >= 2 and quality - history[turn - 2] < tolerance
+        # Two half rounds let every node move once.
+        stalled = turn >= 2 and max(history) - max(history[: turn - 1]) < tolerance
         if unsettled == 0 or stalled:
             break
         current = moved.select("id", F.col("after").alias("community"), "k")
-    return best.select("id", "community"), max(history) - history[0]
+    return best.select("id", "community")
 
 
 def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame) -> DataFrame:
@@ -131,15 +132,14 @@ def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame)
 
 
 def detect_communities(
-    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, max_rounds: int = 20, tolerance: float = 5e-3,
-    level_gain: float = 5e-4, resolution: float = 1.0,
+    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, tolerance: float = 1e-4, resolution: float = 1.0,
 ) -> DataFrame:
     """``(entity, level, community)`` of nested communities that raise weighted modularity, finest level first.
 
     ``edges`` is an undirected weighted graph ``(src, dst, weight)``. At each level nodes move to the neighbouring
     community with the greatest gain, half of them at a time, communities are split into connected parts, and each
-    part becomes a node of the next level with the summed weights. It ends when a level would merge nothing or raise
-    modularity by less than ``level_gain``. A community is named by its smallest entity. All steps are joins and partial sums over written tables.
+    part becomes a node of the next level with the summed weights. It ends when a level would merge nothing. A community
+    is named by its smallest entity. All steps are joins and partial sums over written tables.
     """
     weight_sum = edges.agg(F.sum("weight").alias("w")).head().w
     base = materialize(nodes.select("id").distinct())
@@ -151,9 +151,7 @@ def detect_communities(
     reached = base.select(F.col("id").alias("entity"), F.col("id").alias("community"))
     levels: list[DataFrame] = []
     for level in range(max_levels):
-        moved, gain = _local_moves(level_edges, level_nodes, twice_m, max_rounds, tolerance, resolution)
-        if levels and gain < level_gain:
-            break
+        moved = _local_moves(level_edges, level_nodes, twice_m, tolerance, resolution)
         parts = materialize(_connected_parts(level_edges, level_nodes, moved))
         next_nodes = materialize(parts.select(F.col("community").alias("id")).distinct())
         next_size = next_nodes.count()
@@ -298,28 +296,26 @@ def rel_line() -> Column:
     )
 
 
-def community_text(nodes: DataFrame, rels: DataFrame, lines_per_text: int = LINES_PER_TEXT) -> DataFrame:
-    """``(community, part, text)``: the report block of each community, lines in alphabetical order.
-
-    A community of up to ``lines_per_text`` lines is one part. A larger one is spread over parts by line hash, each a
-    block of its own with all its lines, so that no row grows with the community. Equal lines are carried as a count.
-    """
+def community_lines(nodes: DataFrame, rels: DataFrame) -> DataFrame:
+    """``(community, section, line, copies)``: the report lines of each community as rows, nodes (0) before relations (1)."""
     lines = nodes.select("community", F.lit(0).alias("section"), node_line().alias("line")).union(
         rels.select("community", F.lit(1).alias("section"), rel_line().alias("line"))
     )
-    counted = lines.groupBy("community", "section", "line").agg(F.count(F.lit(1)).alias("copies"))
-    parts = counted.groupBy("community").agg(F.ceil(F.sum("copies") / lines_per_text).cast("long").alias("parts"))
-    # Copies beyond one part's worth go on as further slices.
-    sliced = counted.withColumn(
-        "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / lines_per_text)))
-    ).withColumn("here", F.least(F.lit(lines_per_text), F.col("copies") - F.col("slice") * lines_per_text))
-    digest = F.md5(F.concat_ws("|", F.col("section").cast("string"), F.col("slice").cast("string"), F.col("line")))
-    placed = sliced.join(parts, "community").withColumn(
-        "part", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.col("parts")
-    )
-    rendered = placed.withColumn("_text", F.expr("repeat(concat(line, '\n'), cast(here as int))"))
+    return lines.groupBy("community", "section", "line").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def community_text(nodes: DataFrame, rels: DataFrame, parts: int = 1) -> DataFrame:
+    """``(community, part, text)``: the report block of each community, lines in alphabetical order.
+
+    One part holds a whole community, and a row then grows with it; :func:`community_lines` has no such row. With more
+    parts every community, whatever its size, is spread over them by line hash, each a block of its own.
+    """
+    counted = community_lines(nodes, rels)
+    digest = F.md5(F.concat_ws("|", F.col("section").cast("string"), F.col("line")))
+    placed = counted.withColumn("part", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(parts))
+    rendered = placed.withColumn("_text", F.expr("repeat(concat(line, '\n'), cast(copies as int))"))
     blocks = rendered.groupBy("community", "part").agg(
-        F.array_sort(F.collect_list(F.struct("section", "line", "slice", "_text"))).alias("rows")
+        F.array_sort(F.collect_list(F.struct("section", "line", "_text"))).alias("rows")
     )
 
     def section(number: int) -> Column:

@@ -16,17 +16,18 @@ MENTIONS = "MENTIONS"
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
     """Dictionary matches ``(key, sentence, position, id)`` of 1..max_words word runs within a sentence.
 
-    The gazetteer joins on the phrase. Spark sends it to every task only when its size allows that.
+    Names are reduced to their words like the text, so punctuation inside a name does not matter; every run of a
+    sentence is made in one pass. The gazetteer joins on the phrase. Spark sends it to every task only when its size allows that.
     """
     sentences = sentences_of(docs, key, text)
-    grams = [
-        unroll(sentences, [key, "sentence"], ngrams(F.col("tokens"), n), "phrase", "position")
-        for n in range(1, max_words + 1)
-    ]
-    found = grams[0]
-    for more in grams[1:]:
-        found = found.union(more)
-    names = gazetteer.select(F.lower("id").alias("phrase"), "id")
+    runs = F.flatten(
+        F.array(*[
+            F.transform(ngrams(F.col("tokens"), n), lambda phrase, at: F.struct(phrase.alias("phrase"), at.alias("position")))
+            for n in range(1, max_words + 1)
+        ])
+    )
+    found = sentences.select(key, "sentence", F.inline(runs))
+    names = gazetteer.select(F.array_join(words(F.col("id")), " ").alias("phrase"), "id").where("phrase != ''")
     return found.join(names, "phrase").select(key, "sentence", "position", "id")
 
 
@@ -36,14 +37,16 @@ def sentences_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def cooccurrence_edges(mentions: DataFrame, key: str) -> DataFrame:
-    """``(src, type, dst, weight)`` between entities mentioned next to each other in one sentence.
+    """``(src, type, dst, weight)``: every pair of distinct entities of a sentence, weighted by their common sentences.
 
-    Pairs are neighbouring mentions, so a sentence gives at most one pair per mention; ``src < dst``.
+    ``src < dst``. A sentence's entities are one sorted list, from which its pairs are unrolled in place; the list is
+    as long as the sentence has distinct entities.
     """
-    order = Window.partitionBy(key, "sentence").orderBy("position", "id")
-    pairs = mentions.withColumn("_next", F.lead("id").over(order)).where(F.col("_next") != F.col("id"))
+    listed = mentions.groupBy(key, "sentence").agg(F.sort_array(F.collect_set("id")).alias("_ids"))
+    heads = listed.select("_ids", F.posexplode("_ids").alias("_at", "src"))
+    pairs = heads.select("src", F.explode(F.slice("_ids", F.col("_at") + 2, F.size("_ids"))).alias("dst"))
     return (
-        pairs.groupBy(F.least("id", "_next").alias("src"), F.greatest("id", "_next").alias("dst"))
+        pairs.groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("weight"))
         .select("src", F.lit("CO_OCCURS").alias("type"), "dst", "weight")
     )
@@ -125,9 +128,10 @@ def write_graph(graph: dict[str, DataFrame], path: str) -> None:
 def write_property(nodes: DataFrame, values: DataFrame, key: str, name: str, insert: bool = False) -> DataFrame:
     """Put ``values.name`` on the nodes with the same key; a node without a new value keeps its old one.
 
-    With ``insert`` keys that no node has become new rows.
+    With ``insert`` keys that no node has become new rows. A key with several values gets the smallest, so that no
+    node is ever repeated.
     """
-    fresh = values.select(key, F.col(name).alias("_new"))
+    fresh = values.groupBy(key).agg(F.min(name).alias("_new"))
     joined = nodes.join(fresh, key, "full_outer" if insert else "left")
     kept = F.coalesce(F.col("_new"), F.col(name)) if name in nodes.columns else F.col("_new")
     return joined.withColumn(name, kept).drop("_new")

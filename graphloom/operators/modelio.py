@@ -25,7 +25,7 @@ SWEEP_TEMPERATURES = (0.6, 0.7)
 SWEEP_REPEAT_PENALTIES = (0.5, 1.0, 1.5, 2.0, 4.0, 8.0, 16.0)
 
 # Patterns of replies and contact records.
-TRIPLE_PATTERN = r"^\s*\(([^,()]+),([^,()]+),(.+)\)\s*$"
+TRIPLE_PATTERN = r"^\s*\(([^,]+),([^,]+),(.+)\)\s*$"
 EMAIL_PATTERN = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 PHONE_PATTERN = r"\+?[0-9][0-9 ()\-]{7,}[0-9]"
 NAME_PATTERN = r"(?m)^\s*Name:\s*(.+?)\s*$"
@@ -62,7 +62,7 @@ def parse_triples(responses: DataFrame, key: str) -> tuple[DataFrame, DataFrame]
 
     The third part keeps its commas. Blank lines are neither.
     """
-    lines = unroll(responses, [key], F.split("response", r"\r?\n"), "line").where(F.trim("line") != "")
+    lines = unroll(responses, [key], F.split("response", r"\r?\n"), "line").where(F.col("line").rlike(r"\S"))
     fits = F.col("line").rlike(TRIPLE_PATTERN)
     part = lambda i: F.trim(F.regexp_extract("line", TRIPLE_PATTERN, i))
     good = lines.where(fits).select(key, part(1).alias("head"), part(2).alias("relation"), part(3).alias("tail"))
@@ -96,6 +96,6 @@ def parameter_sweep(
     ]
     swept = requests.select("request_id", "prompt", F.inline(F.array(*grid)))
     run = F.sha2(
-        F.concat_ws("|", "request_id", F.format_number("temperature", 2), F.format_number("repeat_penalty", 2)), 256
+        F.concat_ws("|", "request_id", F.col("temperature").cast("string"), F.col("repeat_penalty").cast("string")), 256
     )
     return swept.select(run.alias("run_id"), "request_id", "prompt", "temperature", "repeat_penalty")

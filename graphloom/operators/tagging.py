@@ -52,11 +52,12 @@ def tag_tokens(
 ) -> DataFrame:
     """Add ``tagged``: a list of (word, tag) beside the token list.
 
-    A lexicon table of at most ``INLINE_LEXICON_ROWS`` rows is read into the expression; a larger one is joined on the
+    A word with several tags has the smallest. A lexicon table of at most ``INLINE_LEXICON_ROWS`` rows is read into the expression; a larger one is joined on the
     word, each document sending every distinct word once.
     """
     if lexicon is None:
         return df.withColumn("tagged", tagged(F.col(tokens), rules=rules))
+    lexicon = lexicon.where("word IS NOT NULL AND tag IS NOT NULL").groupBy("word").agg(F.min("tag").alias("tag"))
     head = lexicon.select("word", "tag").limit(INLINE_LEXICON_ROWS + 1).collect()
     if len(head) <= INLINE_LEXICON_ROWS:
         by_tag: dict[str, list[str]] = defaultdict(list)
@@ -73,7 +74,8 @@ def tag_tokens(
         w.alias("word"),
         F.coalesce(F.try_element_at(F.col("_known"), w), suffix_tag(w, rules)).alias("tag"),
     )
-    return df.join(known, key, "left").withColumn("tagged", F.transform(tokens, pair)).drop("_known")
+    known = known.withColumnRenamed(key, "_key")
+    return df.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key").withColumn("tagged", F.transform(tokens, pair)).drop("_known")
 
 
 def tags_of(tokens: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules=SUFFIX_TAGS) -> Column:

@@ -33,15 +33,18 @@ def mean_pool(
     """Masked mean of token vectors per key; an all-zero mask gives a zero vector.
 
     One running sum per dimension, so partial results leave each task as one row per key. Rows at or beyond
-    ``max_length`` are cut off when a position column is given.
+    ``max_length`` are cut off when a position column is given. Vectors of different widths are refused; null vectors
+    add nothing to the sums, but their masks count.
     """
     if position is not None:
         tokens = tokens.where(F.col(position) < max_length)
     if dims is None:
-        first = tokens.select(F.size(embedding).alias("n")).head()
-        dims = first.n if first else 0
+        widths = tokens.where(F.col(embedding).isNotNull()).agg(F.min(F.size(embedding)).alias("lo"), F.max(F.size(embedding)).alias("hi")).head()
+        if widths.lo != widths.hi:
+            raise ValueError(f"vectors of {widths.lo} to {widths.hi} components can't be averaged")
+        dims = widths.hi or 0
     weight = F.col(mask).cast("double")
-    sums = [F.sum(F.col(embedding)[i].cast("double") * weight).alias(f"_s{i}") for i in range(dims)]
+    sums = [F.coalesce(F.sum(F.col(embedding)[i].cast("double") * weight), F.lit(0.0)).alias(f"_s{i}") for i in range(dims)]
     pooled = tokens.groupBy(key).agg(F.sum(weight).alias("_mask"), *sums)
     divisor = F.greatest(F.col("_mask"), F.lit(1e-9))
     return pooled.select(key, F.array(*[F.col(f"_s{i}") / divisor for i in range(dims)]).alias("embedding"))

@@ -124,24 +124,28 @@ def described(line: str) -> str:
     return f"{line} || CASE WHEN description IS NOT NULL AND description <> '' THEN ', description: ' || description ELSE '' END"
 
 
-TEXT_SQL = f"""
+LINES_SQL = f"""
 WITH lines AS (
   SELECT community, 0 AS section, {described("'id: ' || id || ', type: ' || coalesce(type, 'None')")} AS line FROM ({CONTENT_NODES})
   UNION ALL
-  SELECT community, 1, {described("'(' || \"start\" || ')-[:' || type || ']->(' || \"end\" || ')'")} FROM ({CONTENT_RELS})),
-counted AS (SELECT community, section, line, count(*) AS copies FROM lines GROUP BY ALL),
-parts AS (SELECT community, ceil(sum(copies) / {community.LINES_PER_TEXT}.0)::BIGINT AS parts FROM counted GROUP BY ALL),
-placed AS (
-  SELECT community, section, line, copies, ('0x' || substr(md5(section || '|0|' || line), 1, 8))::BIGINT % parts AS part
-  FROM counted JOIN parts USING (community))
-SELECT community, part, 'Nodes are:' || chr(10)
+  SELECT community, 1, {described("'(' || \"start\" || ')-[:' || type || ']->(' || \"end\" || ')'")} FROM ({CONTENT_RELS}))
+SELECT community, section, line, count(*) AS copies FROM lines GROUP BY ALL
+"""
+
+TEXT_SQL = f"""
+SELECT community, 0::BIGINT AS part, 'Nodes are:' || chr(10)
   || coalesce(string_agg(repeat(line || chr(10), copies), '' ORDER BY line) FILTER (WHERE section = 0), '')
   || chr(10) || 'Relationships are:' || chr(10)
   || coalesce(string_agg(repeat(line || chr(10), copies), '' ORDER BY line) FILTER (WHERE section = 1), '') AS text
-FROM placed GROUP BY community, part
+FROM ({LINES_SQL}) GROUP BY community
 """
 
 
+@query("community_lines", LINES_SQL)
+def community_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return community.community_lines(_nodes_of(spark, sf_dir), _rels_of(spark, sf_dir))
+
+
 def _text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return community.community_text(_nodes_of(spark, sf_dir), _rels_of(spark, sf_dir))
 

@@ -39,9 +39,11 @@ JOIN ({GAZETTEER}) ON word = id
 """
 
 COOCCUR_SQL = f"""
-SELECT least(id, nxt) AS src, 'CO_OCCURS' AS type, greatest(id, nxt) AS dst, count(*) AS weight
-FROM (SELECT id, lead(id) OVER (PARTITION BY doc_id, sentence ORDER BY position, id) AS nxt FROM ({MENTIONS_SQL}))
-WHERE nxt <> id GROUP BY ALL
+SELECT a.id AS src, 'CO_OCCURS' AS type, b.id AS dst, count(*) AS weight
+FROM (SELECT DISTINCT doc_id, sentence, id FROM ({MENTIONS_SQL})) a
+JOIN (SELECT DISTINCT doc_id, sentence, id FROM ({MENTIONS_SQL})) b
+  ON a.doc_id = b.doc_id AND a.sentence = b.sentence AND a.id < b.id
+GROUP BY ALL
 """
 
 

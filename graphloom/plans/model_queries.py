@@ -61,7 +61,7 @@ SELECT p_partkey, unnest(['Here are the rows:', '', '(' || p_name || ', MADE_BY,
   '(' || p_name || ', DESCRIBED_AS, ' || p_type || ', ' || p_brand || ')', '(' || p_name || ', MADE_BY, ' || p_brand || ')']) AS line
 FROM part
 """
-SQL_TRIPLE = r"'^\s*\(([^,()]+),([^,()]+),(.+)\)\s*$'"
+SQL_TRIPLE = r"'^\s*\(([^,]+),([^,]+),(.+)\)\s*$'"
 
 
 @query(
@@ -104,7 +104,7 @@ def contact_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "parameter_sweep",
     f"""
-    SELECT sha256(request_id || '|' || format('{{:.2f}}', t) || '|' || format('{{:.2f}}', p)) AS run_id, request_id,
+    SELECT sha256(request_id || '|' || t::DOUBLE::VARCHAR || '|' || p::DOUBLE::VARCHAR) AS run_id, request_id,
            t AS temperature, p AS repeat_penalty
     FROM (SELECT DISTINCT request_id FROM ({REQUESTS_SQL})),
          (SELECT unnest([{', '.join(map(str, modelio.SWEEP_TEMPERATURES))}])::DOUBLE AS t),

@@ -51,9 +51,9 @@ def tag_case(word: str) -> str:
 # --- scans and sinks --------------------------------------------------------------------------------------------
 
 
-@query("scan_table", "SELECT doc_id, lang, source, n_chars FROM documents")
+@query("scan_table", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    return tables.read_table(spark, f"{sf_dir}/documents.parquet")
 
 
 @query("csv_roundtrip", "SELECT 'Document ' || doc_id AS title, text FROM documents")
@@ -72,15 +72,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "union_tables",
     """
-    SELECT 'documents' AS source_table, doc_id, text, lang, CAST(NULL AS BIGINT) AS item_id, NULL::INT AS quality FROM documents
-    UNION ALL SELECT 'benchmark', NULL, text, NULL, item_id, NULL FROM benchmark
-    UNION ALL SELECT 'labels', doc_id, NULL, NULL, NULL, quality FROM labels
+    SELECT 'documents' AS source_table, * FROM documents
+    UNION ALL BY NAME SELECT 'benchmark' AS source_table, * FROM benchmark
+    UNION ALL BY NAME SELECT 'labels' AS source_table, * FROM labels
     """,
 )
 def union_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("documents", "benchmark", "labels")
-    stacked = tables.union_tables({name: table(spark, sf_dir, name) for name in names})
-    return stacked.select("source_table", "doc_id", "text", "lang", "item_id", "quality")
+    return tables.union_tables({name: table(spark, sf_dir, name) for name in names})
 
 
 # --- page functions ---------------------------------------------------------------------------------------------

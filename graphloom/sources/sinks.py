@@ -24,9 +24,8 @@ def write_jdbc(
     """Replace ``table``. Each partition opens a connection, so the partition count is bounded for the database's
     sake; errors reach the caller."""
     options = jdbc_options(url, table, properties)
-    if df.rdd.getNumPartitions() > max_connections:
-        df = df.coalesce(max_connections)
-    df.write.mode("overwrite").jdbc(**options)
+    # a shuffle, so that what comes before keeps its own width
+    df.repartition(max_connections).write.mode("overwrite").jdbc(**options)
 
 
 def write_replace(df: DataFrame, path: str) -> None:

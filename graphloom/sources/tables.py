@@ -35,10 +35,20 @@ def read_table(
 
 
 def read_sql(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run SQL text over named frames."""
-    for name, frame in (views or {}).items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """Run SQL text over named frames. The names hold for this query only; views of the session are put back."""
+    before: dict[str, DataFrame] = {}
+    temporary = {table.name for table in spark.catalog.listTables() if table.isTemporary} if views else set()
+    try:
+        for name, frame in (views or {}).items():
+            if name.lower() in temporary:
+                before[name] = spark.table(name)
+            frame.createOrReplaceTempView(name)
+        return spark.sql(query)  # resolved here, so later changes of the names don't reach it
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
+        for name, frame in before.items():
+            frame.createOrReplaceTempView(name)
 
 
 def read_articles_csv(spark: SparkSession, path: str, schema: T.StructType = ARTICLE_SCHEMA) -> DataFrame:

@@ -150,9 +150,9 @@ def test_contents_and_text(spark, membership, rows):
 def test_large_community_text_keeps_every_line(spark):
     nodes = spark.createDataFrame([("c", f"n{i:03d}", None, "T") for i in range(100)], "community string, id string, description string, type string")
     rels = spark.createDataFrame([("c", "a", "R", "b", None)] * 57, "community string, start string, type string, end string, description string")
-    parts = community.community_text(nodes, rels, lines_per_text=10).collect()
+    parts = community.community_text(nodes, rels, parts=6).collect()
     lines = [line for r in parts for line in r.text.split("\n")]
-    assert len(parts) > 5
+    assert len(parts) == 6
     assert sum(line.startswith("id: ") for line in lines) == 100 and sum(line.startswith("(a)") for line in lines) == 57
     assert len({line for line in lines if line.startswith("id: ")}) == 100
 
