@@ -54,7 +54,7 @@ def test_packing_keeps_every_capacity(rule):
 def test_packing_is_near_the_least_number():
     lengths = np.sort(np.random.default_rng(4).integers(1, 2049, 4000))[::-1]
     bins, _ = packing.pack_group(lengths, 2048, 2048, 2048.0**2, (1.0, 0.0, 0.0), "norm")
-    assert bins.max() + 1 <= 1.01 * (lengths.sum() / 2048) + 1
+    assert bins.max() + 1 <= 1.03 * (lengths.sum() / 2048) + 1
 
 
 def test_packing_refuses_what_never_fits():
