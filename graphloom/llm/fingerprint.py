@@ -25,6 +25,8 @@ BASES = (911382323, 972663749)
 INVERSES = tuple(pow(base, MODULUS - 2, MODULUS) for base in BASES)
 SLOTS = 64
 SPAN = 12
+#: Characters of a text that tell ranges of one id apart; texts are still sorted as a whole.
+RANGE_PREFIX = 32
 
 
 _tables: dict[int, np.ndarray] = {}
@@ -160,11 +162,12 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     follow each other by text, rows without an id come first. ``common_prefix`` is the longest common extension of the
     text and the edited text from their starts. An empty table gives none; a single row follows itself.
 
-    Texts move once, to ranges of the id. Each task passes over its range in order and holds two texts; the last row of
+    Texts move once, to ranges of the id (and of ``RANGE_PREFIX`` characters, for repeated ids), so the keys that the
+    driver samples stay short. Each task passes over its range in order and holds two texts; the last row of
     a range is completed with the first of the next, which are as few as there are tasks.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(shuffle_width(docs.sparkSession), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    dealt = rows.repartitionByRange(shuffle_width(docs.sparkSession), "doc_id", F.substring("text", 1, RANGE_PREFIX)).sortWithinPartitions("doc_id", "text")
     dealt = dealt.withColumn("part", F.spark_partition_id())
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
