@@ -102,6 +102,16 @@ def test_fingerprints(docs, empty, spark):
     assert fingerprint.edited_fingerprints(docs.where("doc_id = 1")).collect()[0].near_next == 1.0
 
 
+def test_fingerprints_of_a_repeated_id(spark):
+    start = "x" * (2 * fingerprint.RANGE_PREFIX)
+    values = [f"{start}{i % 7} tail {i % 5}" for i in range(40)] + ["", "x", "é" * 50]
+    frame = spark.createDataFrame([(7, v) for v in values], "doc_id long, text string")
+    ordered = sorted(values, key=str.encode)
+    wanted = [t[: len(t) - len(t) // 4] + after[: len(t) // 4] for t, after in zip(ordered, ordered[1:] + ordered[:1])]
+    found = [r.edited_sha256 for r in fingerprint.edited_fingerprints(frame).collect()]
+    assert sorted(found) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in wanted)
+
+
 def test_licenses_and_language(docs, empty):
     assert licenses.license_spans(docs).count() == 0 and licenses.license_spans(empty).count() == 0
     labelled = docs.withColumn("lang", F.when(F.col("doc_id") < 5, "en"))
