@@ -28,6 +28,8 @@ BASE = 1.02
 TOP, OFFSET = 4095, 256
 #: Pairs stay unless the likelihood of the wanted similarity is below the best one's by half of this (over 6 deviations).
 DOUBT = 40.0
+#: So many ids (8 bytes each) are counted and then sent to all executors, to pick their texts without moving the others.
+PICKED_IDS = 2_000_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -142,14 +144,20 @@ def _plausible(pairs: DataFrame, reps: DataFrame, hundredths: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of a written table of distinct ids. Beyond ``PICKED_IDS`` both sides are shuffled."""
+    few = ids.limit(PICKED_IDS + 1).count() <= PICKED_IDS
+    return docs.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, hundredths: int, width: int) -> DataFrame:
     """Of ``(a, b)`` pairs, those whose full sets have ``100 * intersection >= hundredths * union``."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
 
     def sets(batch: pa.RecordBatch) -> dict:
         return {"id": batch.column("id"), "items": [shingles(value, width).tobytes() for value in texts(batch, "text")]}
 
-    needed = materialize(map_batches(docs.join(ids, "id", "left_semi"), sets, "id long, items binary"))
+    needed = materialize(map_batches(_picked(docs, ids), sets, "id long, items binary"))
     with_a = pairs.join(needed.toDF("a", "items_a").hint("merge"), "a")
     both = with_a.join(needed.toDF("b", "items_b").hint("merge"), "b")
 
@@ -182,11 +190,11 @@ def near_duplicates(
     gathered in one task.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text")).where("id IS NOT NULL")
-    table = materialize(sketches(rows, "id", "text", width))
-    unique = table.groupBy("id").agg(F.max(F.struct("n", "same", "registers")).alias("s")).select("id", "s.*")
-    groups = unique.where("n > 0").groupBy("same").agg(F.min(F.struct("id", "n", "registers")).alias("s"))
-    reps = materialize(groups.select("s.*"))
-    sets = rows.groupBy("id").agg(F.max("text").alias("text")) if table.groupBy("id").count().where("count > 1").limit(1).count() else rows
+    repeated = rows.groupBy("id").count().where("count > 1").limit(1).count()
+    sets = materialize(rows.groupBy("id").agg(F.max("text").alias("text"))) if repeated else rows
+    table = materialize(sketches(sets, "id", "text", width))
+    groups = table.where("n > 0").groupBy("same").agg(F.min(F.struct("id", "n", "registers")).alias("s"))
+    reps = materialize(groups.select("same", "s.*"))
 
     buckets = _bands(reps)
     stat = buckets.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1")
@@ -207,9 +215,9 @@ def near_duplicates(
         more = materialize(_confirmed(materialize(_plausible(pairs, reps, hundredths)), sets, hundredths, width))
         found = materialize(connected_components(links.union(more), src="a", dst="b", node="id"))
 
-    component = groups.select("same", F.col("s.id").alias("rep")).join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    component = reps.select("same", F.col("id").alias("rep")).join(found.select(F.col("id").alias("rep"), "component"), "rep", "left")
     named = component.select("same", F.coalesce("component", "rep").alias("component"))
-    out = unique.select("id", "n", "same").join(named.hint("merge"), "same", "left")
+    out = table.select("id", "n", "same").join(named.hint("merge"), "same", "left")
     out = out.select("id", "n", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
@@ -226,7 +234,7 @@ def _rare_pairs(members: DataFrame, reps: DataFrame, docs: DataFrame, hundredths
         sets = [shingles(value, width) for value in texts(batch, "text")]
         return {"id": np.repeat(batch.column("id").to_numpy(), [len(x) for x in sets]), "item": np.concatenate(sets).view(np.int64)}
 
-    flat = materialize(map_batches(docs.join(members, "id", "left_semi"), items, "id long, item long"))
+    flat = materialize(map_batches(_picked(docs, members.select("id")), items, "id long, item long"))
     counts = flat.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     placed = flat.join(counts.hint("merge"), "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("items"))
     # a set of n has at most n - ceil(share * n) + 1 places where its first common shingle can lie

@@ -50,6 +50,17 @@ def test_near_duplicates(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_a_repeated_id(spark):
+    rows = [(1, LONG), (2, "zz"), (2, LONG + " end"), (3, LONG + " end"), (3, None)]
+    found = {tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {(1, 116, 1, True), (2, 1, 2, True), (3, 117, 1, False)}
+
+
+def test_near_duplicates_without_sent_ids(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PICKED_IDS", 0)
+    compare(spark, SF_DIR, QUERIES["op5_neardup"], ORACLE["op5_neardup"])
+
+
 def test_pseudonyms(spark, docs, empty):
     text = "mail a.b1@c.de and 4111 1111 1111 1111, 4111 1111 1111 1112, +1 (212) 555-0100, 10.0.0.1, 2024-02-29, 2023-02-29, v 3.0."
     frame = spark.createDataFrame([(1, text), (2, text), (3, None), (4, "clean text, version 3.")], "doc_id long, text string")
