@@ -20,9 +20,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates; rows that repeat it once."""
-    found = neardup.near_duplicates(docs, hundredths=80).where("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(found, docs["doc_id"] == found["_id"], "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """The rows of the smallest id of each group of near-duplicates, and those without an id."""
+    dropped = neardup.near_duplicates(docs, hundredths=80).where("NOT kept").select(F.col("doc_id").alias("id"))
+    return neardup.picked(docs, materialize(dropped), "doc_id", "left_anti")
 
 
 def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

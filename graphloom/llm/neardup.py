@@ -144,10 +144,14 @@ def _plausible(pairs: DataFrame, reps: DataFrame, hundredths: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of a written table of distinct ids. Beyond ``PICKED_IDS`` both sides are shuffled."""
+def picked(docs: DataFrame, ids: DataFrame, doc_id: str = "id", how: str = "left_semi") -> DataFrame:
+    """The documents of a written table of distinct ``id`` values, or (``left_anti``) the others.
+
+    Beyond ``PICKED_IDS`` both sides are shuffled. Rows without an id match none.
+    """
     few = ids.limit(PICKED_IDS + 1).count() <= PICKED_IDS
-    return docs.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
+    own = ids.select(F.col("id").alias("_picked"))
+    return docs.join(F.broadcast(own) if few else own.hint("merge"), docs[doc_id] == F.col("_picked"), how)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, hundredths: int, width: int) -> DataFrame:
@@ -157,7 +161,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, hundredths: int, width: int) -
     def sets(batch: pa.RecordBatch) -> dict:
         return {"id": batch.column("id"), "items": [shingles(value, width).tobytes() for value in texts(batch, "text")]}
 
-    needed = materialize(map_batches(_picked(docs, ids), sets, "id long, items binary"))
+    needed = materialize(map_batches(picked(docs, ids), sets, "id long, items binary"))
     with_a = pairs.join(needed.toDF("a", "items_a").hint("merge"), "a")
     both = with_a.join(needed.toDF("b", "items_b").hint("merge"), "b")
 
@@ -234,7 +238,7 @@ def _rare_pairs(members: DataFrame, reps: DataFrame, docs: DataFrame, hundredths
         sets = [shingles(value, width) for value in texts(batch, "text")]
         return {"id": np.repeat(batch.column("id").to_numpy(), [len(x) for x in sets]), "item": np.concatenate(sets).view(np.int64)}
 
-    flat = materialize(map_batches(_picked(docs, members.select("id")), items, "id long, item long"))
+    flat = materialize(map_batches(picked(docs, members), items, "id long, item long"))
     counts = flat.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     placed = flat.join(counts.hint("merge"), "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("items"))
     # a set of n has at most n - ceil(share * n) + 1 places where its first common shingle can lie
