@@ -3,7 +3,8 @@
 Numbers and dates that pass their own check (Luhn sum, octets, calendar, number plan) are permuted within their format
 by a keyed Feistel network: the same value gets the same pseudonym everywhere, two values never share one, and digits,
 letters and separators stay where they were. E-mail names and secrets are permuted character by character in the same
-way, each within its class (digit, lower case, upper case).
+way, each within its class (digit, lower case, upper case). Key words of secrets count in any case, ``AKIA`` in capitals
+only.
 """
 
 from __future__ import annotations
@@ -15,8 +16,28 @@ KEY = "graphloom"
 ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-SECRET = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:password|passwd|token|secret|api_key|apikey)\s?[=:]\s?\"?[^\s\",;]{6,}"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+SECRET = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key|apikey)\s?[=:]\s?\"?[^\s\",;]{6,}"
+#: Lengths of account numbers by country code, ISO 13616 and countries that use its form.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+#: A number as long as its country says, so that a word after it stays out; other codes and lengths as far as they go.
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d{2})(?:" + "|".join(_iban_of(*item) for item in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+)
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -209,11 +230,11 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, count: str
     """``docs`` with personal values in ``text`` replaced, and with their number in the column ``count`` if one is named.
 
     Null texts stay null (number 0), empty ones empty; repeated rows change alike; other columns are untouched. An
-    empty table stays so. A text is searched once as a whole; only rows with a digit, ``@``, ``=`` or ``:`` can hold
-    anything.
+    empty table stays so. A text is searched once as a whole; only rows with a digit, ``@``, ``=``, ``:`` or
+    ``AKIA`` can hold anything.
     """
     own = F.col(f"`{text}`")
-    suspect = own.rlike(r"[0-9@=:]")
+    suspect = own.rlike(r"[0-9@=:]|AKIA")
     found = F.when(suspect, F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))
     marked = docs.withColumn("_found", found).withColumn(
         "_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key)))
