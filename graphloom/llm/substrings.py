@@ -4,7 +4,8 @@ A window is ``width`` consecutive words; its minimiser is the run of ``KMER`` wo
 Consecutive windows that share their minimiser form a super-k-mer. Minimisers that occur in one document only can't
 hold a repeated window and are left out after counting; every other super-k-mer travels as one packed string to its
 minimiser's bucket, once for each distinct string. There its windows are sorted, which tells for every window exactly
-the smallest document that holds it.
+the smallest document that holds it. A bucket of too many strings (a passage in many documents with other words around)
+isn't gathered: its windows travel as hashes, and the smallest document of each is an aggregate.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from graphloom.llm.common import hash_words, map_batches, rolling, texts
 from graphloom.session import materialize, shuffle_width
 
 KMER = 5
-#: Packed strings sorted together; a bucket is never cut.
+#: Packed strings sorted together; a bucket sorted here is never cut.
 BLOCK_STRINGS = 4000
 #: Buckets with more documents are cut again by a second minimiser.
 HOT = 2000
+#: Buckets with more strings even so are taken window by window.
+WIDE = 4000
 
 
 def super_kmers(words: np.ndarray, width: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,13 +52,17 @@ def _key(value: str) -> int:
     return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
 
 
-def first_documents(strings: list[bytes], documents: np.ndarray, width: int) -> list[np.ndarray]:
-    """For each packed string, the smallest document of each of its windows among all strings given."""
+def window_hashes(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of packed strings, one string after the other, as two hashes each, and their number in each string."""
     hashed = [hash_words(s.split(b" ")) for s in strings]
     one = [rolling(h, width, 1) for h in hashed]
     two = [rolling(h ^ np.uint64(0x5851F42D4C957F2D), width, 2) for h in hashed]
-    counts = np.array([len(x) for x in one])
-    a, b = np.concatenate(one), np.concatenate(two)
+    return np.concatenate(one), np.concatenate(two), np.array([len(x) for x in one])
+
+
+def first_documents(strings: list[bytes], documents: np.ndarray, width: int) -> list[np.ndarray]:
+    """For each packed string, the smallest document of each of its windows among all strings given."""
+    a, b, counts = window_hashes(strings, width)
     owner = np.repeat(documents, counts)
     order = np.lexsort((owner, b, a))
     new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
@@ -97,8 +104,11 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
             for at in range(0, batch.num_rows, 200):
                 yield _packed(batch.slice(at, 200), width)
 
-    packed = materialize(joined.mapInArrow(pack, "id long, key long, start int, bucket long, sid binary, packed binary"))
-    strings = packed.groupBy("bucket", "sid").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("packed").alias("packed"))
+    packed = materialize(joined.mapInArrow(pack, "id long, key long, start int, bucket long, sid binary, packed binary, hot boolean"))
+    distinct = packed.where("hot").select("bucket", "sid").distinct()
+    # at most one bucket for WIDE strings, so few enough to be sent everywhere
+    wide = F.broadcast(materialize(distinct.groupBy("bucket").count().where(F.col("count") > WIDE).select("bucket")))
+    strings = _strings(packed.join(wide, "bucket", "left_anti"))
     strings = strings.repartition(shuffle_width(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,6 +127,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
             yield from _runs(pa.Table.from_batches(held), width)
 
     runs = strings.mapInArrow(sort, "sid binary, runs array<long>")
+    runs = runs.union(_wide_runs(_strings(packed.where("hot").join(wide, "bucket", "left_semi")), width))
     refs = packed.select("id", "key", "start", "sid").join(runs.hint("merge"), "sid")
     flat = refs.select("id", "key", "start", F.explode(F.sequence(F.lit(0), F.size("runs") - 3, F.lit(3))).alias("i"), "runs")
     at = lambda k: F.element_at("runs", F.col("i") + k)
@@ -124,7 +135,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
     return spans.groupBy("id", "key").agg(F.flatten(F.transform(F.sort_array(F.collect_list("span")), lambda s: F.array(s["from"], s["to"]))).alias("spans"))
 
 
-_PACKED = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("bucket", pa.int64()), ("sid", pa.binary()), ("packed", pa.binary())])
+_PACKED = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("bucket", pa.int64()), ("sid", pa.binary()), ("packed", pa.binary()), ("hot", pa.bool_())])
 _RUNS = pa.schema([("sid", pa.binary()), ("runs", pa.list_(pa.int64()))])
 
 
@@ -143,8 +154,8 @@ def _packed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
                 pieces = [(start + s, n, part["minimiser"] ^ m) for s, n, m in zip(*(x.tolist() for x in again))]
             for s, n, bucket in pieces:
                 string = b" ".join(words[s : s + n + width - 1])
-                out.append((number, key, s, bucket, hashlib.blake2b(string, digest_size=16).digest(), string))
-    columns = zip(*out) if out else [[]] * 6
+                out.append((number, key, s, bucket, hashlib.blake2b(string, digest_size=16).digest(), string, part["hot"]))
+    columns = zip(*out) if out else [[]] * len(_PACKED)
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _PACKED)], schema=_PACKED)
 
 
@@ -162,6 +173,46 @@ def _runs(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(found, pa.list_(pa.int64()))], schema=_RUNS)
 
 
+def _strings(packed: DataFrame) -> DataFrame:
+    """Each distinct string of a bucket with the smallest and the largest document that has it."""
+    return packed.groupBy("bucket", "sid").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("packed").alias("packed"))
+
+
+def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
+    """The runs of ``_runs``, with no bucket in one place: windows meet by their hashes, one row on the side of the smallest."""
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        a, b, counts = window_hashes(batch.column("packed").to_pylist(), width)
+        owner = np.repeat(np.arange(batch.num_rows), counts)
+        return {
+            "sid": batch.column("sid").take(pa.array(owner)), "lo": batch.column("lo").to_numpy()[owner], "hi": batch.column("hi").to_numpy()[owner],
+            "place": np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts), "a": a.view(np.int64), "b": b.view(np.int64),
+        }
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                yield batch.slice(at, 1000)
+
+    some = strings.select("sid", "lo", "hi", "packed")
+    some = some.mapInArrow(pieces, some.schema)
+    windows = materialize(map_batches(some, cut, "sid binary, lo long, hi long, place long, a long, b long"))
+    firsts = windows.groupBy("a", "b").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").drop("last")
+    found = windows.select("sid", "hi", "place", "a", "b").join(firsts.hint("merge"), ["a", "b"]).where("first < hi")
+    found = found.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("place", "first"))).alias("found"))
+
+    def joined(batch: pa.RecordBatch) -> dict:
+        runs = []
+        for own in batch.column("found").to_pylist():
+            places, first = np.array([x["place"] for x in own]), np.array([x["first"] for x in own])
+            starts = np.flatnonzero(np.concatenate([[True], (places[1:] != places[:-1] + 1) | (first[1:] != first[:-1])]))
+            stops = np.append(starts[1:], len(own)) - 1
+            runs.append(np.stack([places[starts], places[stops], first[starts]], axis=1).ravel())
+        return {"sid": batch.column("sid"), "runs": runs}
+
+    return map_batches(found, joined, "sid binary, runs array<long>")
+
+
 def kept_words(docs: DataFrame, keep: list[str], make, schema: str, width: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``make(batch, words, masks)`` over all rows of ``docs`` with the mask of kept words of each.
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,34 @@ def test_substrings(docs, empty):
     assert sorted(str(r.text) for r in stripped.collect()) == sorted(str(x) for x in [LONG, "start", "start", None, "", "end", LONG, "a b"])
 
 
+def test_substrings_of_a_passage_in_many_documents(spark, monkeypatch):
+    """No task gathers the strings of a bucket that many documents share, and results stay those of plain code."""
+    runs = substrings._runs
+
+    def bounded(table, width):
+        if max(Counter(table.column("bucket").to_pylist()).values()) > 8:
+            raise ValueError("a whole bucket in one place")
+        return runs(table, width)
+
+    monkeypatch.setattr(substrings, "HOT", 5)
+    monkeypatch.setattr(substrings, "WIDE", 8, raising=False)
+    monkeypatch.setattr(substrings, "_runs", bounded)
+    around = lambda i, side: " ".join(f"{side}{i}x{k}" for k in range(20 + i % 30))
+    texts = {i: f"{around(i, 'l')} {' '.join(LONG.split()[i % 7 : 70 + i % 5])} {around(i, 'r')}" for i in range(60)}
+    texts |= {60: texts[7], 61: texts[3] + " " + texts[9], 62: " ".join(f"alone{k}" for k in range(90))}
+    first, removed = {}, {}
+    for i, text in texts.items():
+        words = text.split()
+        covered = set()
+        for at in range(len(words) - 49):
+            if first.setdefault(tuple(words[at : at + 50]), i) < i:
+                covered.update(range(at, at + 50))
+        removed[i] = len(covered)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substrings.digests(frame).collect()} == removed
+    assert sum(n > 0 for n in removed.values()) > 50
+
+
 def test_near_duplicates(docs, empty):
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs, 85).collect()}
     assert found == {1: (116, 1, True), 2: (117, 1, False), 3: (0, 3, True), 4: (0, 4, True), 5: (117, 1, False), 6: (1, 6, True)}
