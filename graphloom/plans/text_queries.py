@@ -292,6 +292,61 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("sequence", F.array_join("tags", " ").alias("tags"))
 
 
+# One- to three-word phrases, with every document that holds them; the queries above take two words and one document.
+def _all_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    tokens = documents.select("doc_id", "lang", text.words(F.col("text")).alias("tokens"))
+    return text.unroll(tokens, ["doc_id", "lang"], text.all_ngrams(F.col("tokens"), 3), "sequence")
+
+
+def _tagged(phrases: DataFrame) -> DataFrame:
+    return phrases.withColumn("tags", tagging.tags_of(F.split("sequence", " ")))
+
+
+ALL_PHRASES = f"""
+SELECT doc_id, lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+       list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS sequence
+FROM (SELECT doc_id, lang, {WORDS} AS w FROM documents)
+"""
+TAGS_SQL = f"list_transform(string_split(sequence, ' '), lambda x: {tag_case('x')}) AS tags"
+
+
+@query(
+    "pos_filters_three_words",
+    f"SELECT sequence, {', '.join(f'({e}) AS {n}' for n, e in SQL_FLAGS.items())}, starts_with(tags[-1], 'NN') AS ends_noun"
+    f" FROM (SELECT sequence, {TAGS_SQL} FROM (SELECT DISTINCT sequence FROM ({ALL_PHRASES})))",
+)
+def pos_filters_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = [test(F.col("tags")).alias(name) for name, test in pos.REMOVAL_FLAGS.items()]
+    phrases = _tagged(_all_phrases(spark, sf_dir).select("sequence").distinct())
+    return phrases.select("sequence", *flags, pos.ends_with_noun(F.col("tags")).alias("ends_noun"))
+
+
+@query(
+    "final_cd_check_pages",
+    f"""
+    SELECT DISTINCT doc_id, sequence, bad AND NOT (bad AND tags IN (['CD', 'NN'], ['CD', 'NNS'])
+           AND contains(page, replace(sequence, ' ', '-'))) AS final_cd
+    FROM (SELECT doc_id, sequence, tags, {SQL_FLAGS['bad_cd_ratio']} AS bad, {URL_SQL} AS page
+          FROM (SELECT *, {TAGS_SQL} FROM (SELECT DISTINCT doc_id, lang, sequence FROM ({ALL_PHRASES}))))
+    """,
+)
+def final_cd_check_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = _tagged(_all_phrases(spark, sf_dir).distinct())
+    return _with_url(phrases).select("doc_id", "sequence", _final_cd().alias("final_cd")).distinct()
+
+
+@query(
+    "noun_phrases_three_words",
+    f"SELECT sequence, array_to_string(tags, ' ') AS tags"
+    f" FROM (SELECT sequence, {TAGS_SQL} FROM (SELECT DISTINCT sequence FROM ({ALL_PHRASES})))"
+    f" WHERE starts_with(tags[-1], 'NN')" + "".join(f" AND NOT ({e})" for e in SQL_FLAGS.values()),
+)
+def noun_phrases_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = _tagged(_all_phrases(spark, sf_dir).select("sequence").distinct())
+    return phrases.where(pos.is_noun_phrase(F.col("tags"))).select("sequence", F.array_join("tags", " ").alias("tags"))
+
+
 # --- n-grams ----------------------------------------------------------------------------------------------------
 
 

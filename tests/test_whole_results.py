@@ -2,6 +2,7 @@
 
 import pytest
 
+import __spark_entry__ as entry_points
 from graphloom.operators import graph, modelio, tagging, vectors
 from graphloom.sources import tables
 
@@ -53,3 +54,19 @@ def test_sql_views_are_put_back(spark, rows):
     assert rows(tables.read_sql(spark, "SELECT count(*) AS n FROM numbers", {"numbers": spark.range(5)})) == [(5,)]
     assert spark.table("numbers").count() == 2
     spark.catalog.dropTempView("numbers")
+
+
+def _tables(spark, tmp_path, **texts):
+    for name, (rows, schema) in texts.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_phrases_of_three_words_on_every_page(spark, rows, tmp_path):
+    docs = [(1, "en", "12 houses old"), (2, "de", "12 houses old"), (3, "de", "12 houses old")]
+    sf_dir = _tables(spark, tmp_path, documents=(docs, "doc_id long, lang string, text string"))
+    queries = entry_points.queries()
+    judged = {(r.doc_id, r.sequence): r.final_cd for r in queries["final_cd_check_pages"](spark, sf_dir).collect()}
+    assert len(judged) == 18 and [judged[i, "12 houses"] for i in (1, 2, 3)] == [True, False, False]
+    for name in ("pos_filters_three_words", "noun_phrases_three_words"):
+        assert "12 houses old" in {r.sequence for r in queries[name](spark, sf_dir).collect()}, name
