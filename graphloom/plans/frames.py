@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import strip_markup, words
+from graphloom.functions.text import all_ngrams, strip_markup, unroll, words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -231,6 +231,24 @@ WHERE length(id) >= 6
 """
 
 
+# --- names: all runs of one to three words of the benchmark passages ------------------------------------------------
+
+
+def passage_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of any length; the gazetteer above has single words of six letters or more only."""
+    tokens = table(spark, sf_dir, "benchmark").select(words(F.col("text")).alias("tokens"))
+    return unroll(tokens, [], all_ngrams(F.col("tokens"), 3), "id").distinct().select(
+        "id", F.lit("Term").alias("type"), F.lit(None).cast("string").alias("description")
+    )
+
+
+PASSAGE_NAMES = r"""
+SELECT DISTINCT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+       list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS id
+FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark)
+"""
+
+
 # --- documents and benchmark passages as one page set ----------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from graphloom.functions import text
 from graphloom.operators import components, graph, resolve, vectors
 from graphloom.plans import frames
 from graphloom.plans.frames import (
-    GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
+    GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, PASSAGE_NAMES, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
 )
 from graphloom.session import materialize, spread
 
@@ -62,6 +62,34 @@ def cooccurrence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cooccurrence_edges(_mentions(spark, sf_dir), "doc_id")
 
 
+# The same over names of one to three words of any length.
+NAME_MENTIONS_SQL = rf"""
+SELECT doc_id, sentence, position, id FROM (
+  SELECT doc_id, sentence, position, array_to_string(w[position + 1:position + n], ' ') AS phrase FROM (
+    SELECT doc_id, sentence, w, n, unnest(range(len(w) - n + 1))::INT AS position FROM (
+      SELECT doc_id, sentence, regexp_extract_all(lower(part), '[\p{{L}}\p{{N}}_]+') AS w FROM (
+        SELECT doc_id, unnest(range(len(p)))::INT AS sentence, unnest(p) AS part
+        FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?\n]+') AS p FROM documents))),
+      (SELECT unnest([1, 2, 3]) AS n) WHERE len(w) >= n))
+JOIN ({PASSAGE_NAMES}) ON phrase = id
+"""
+
+
+def _name_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return graph.entity_mentions(documents, frames.passage_names(spark, sf_dir), "doc_id", "text", max_words=3)
+
+
+@query("entity_mentions_names", NAME_MENTIONS_SQL)
+def entity_mentions_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _name_mentions(spark, sf_dir)
+
+
+@query("cooccurrence_edges_names", COOCCUR_SQL.replace(MENTIONS_SQL, NAME_MENTIONS_SQL))
+def cooccurrence_edges_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.cooccurrence_edges(_name_mentions(spark, sf_dir), "doc_id")
+
+
 # --- stored graph -----------------------------------------------------------------------------------------------
 
 

@@ -70,3 +70,14 @@ def test_phrases_of_three_words_on_every_page(spark, rows, tmp_path):
     assert len(judged) == 18 and [judged[i, "12 houses"] for i in (1, 2, 3)] == [True, False, False]
     for name in ("pos_filters_three_words", "noun_phrases_three_words"):
         assert "12 houses old" in {r.sequence for r in queries[name](spark, sf_dir).collect()}, name
+
+
+def test_mentions_of_short_names_and_of_several_words(spark, rows, tmp_path):
+    sf_dir = _tables(
+        spark, tmp_path, documents=([(1, "Red oak, old tree. oak")], "doc_id long, text string"),
+        benchmark=([(1, "a red oak tree")], "item_id long, text string"),
+    )
+    queries = entry_points.queries()
+    found = rows(queries["entity_mentions_names"](spark, sf_dir), "sentence", "position", "id")
+    assert found == [(0, 0, "red"), (0, 0, "red oak"), (0, 1, "oak"), (0, 3, "tree"), (1, 0, "oak")]
+    assert queries["cooccurrence_edges_names"](spark, sf_dir).count() == 6
