@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from graphloom.llm import bpe, fingerprint, language, licenses, neardup, neighbours, packing, pii, quality, substrings
+from graphloom.llm import (
+    bpe, fingerprint, language, licenses, neardup, neighbours, packing, pii, quality, resampling, sharding, substrings,
+    whitening,
+)
 from graphloom.llm.common import documents
 from graphloom.session import materialize
 
@@ -63,6 +66,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), WORD_VOCABULARY, 2048)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=8)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = resampling.resample(documents(spark, sf_dir), target, n_buckets=10_000, share=25, min_words=20, seed=7)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -71,7 +88,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_neighbours, op2_licenses, op3_pii, op4_substrings, op5_neardup, op6_bpe, op7_fingerprints, op8_quality,
-        op9_language, op10_packing, pipeline,
+        op9_language, op10_packing, op11_sharding, op12_whitening, op13_resampling, pipeline,
     )
 }
 
@@ -128,5 +145,92 @@ WITH RECURSIVE w AS (
 )
 SELECT r.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reached) AS component_id, r.doc_id = min(reached) AS kept
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id, n.n
+""",
+    "op11_sharding": """
+WITH RECURSIVE tree AS (
+  SELECT t AS shards, 'region ' || CASE WHEN s < 8 THEN s // 4 ELSE s - 6 END AS region,
+         'rack ' || CASE WHEN s < 8 THEN s // 2 ELSE s - 4 END AS rack, 'shard ' || s AS leaf, s AS shard
+  FROM (VALUES (8), (9)) a(t), range(9) b(s) WHERE s < t
+), nodes AS (
+  SELECT shards, 1 AS level, '' AS above, region AS name, count(*) AS weight FROM tree GROUP BY ALL
+  UNION ALL SELECT shards, 2, region, rack, count(*) FROM tree GROUP BY ALL
+  UNION ALL SELECT shards, 3, rack, leaf, 1 FROM tree
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, coalesce(text, '') AS text FROM documents
+), clocks AS (
+  SELECT r, shards, level, above, name,
+         -ln((CAST('0x' || substr(md5('shard:' || name || ':' || k), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / weight AS clock
+  FROM d, nodes
+), winners AS (
+  SELECT r, shards, level, above, arg_min(name, clock) AS name FROM clocks GROUP BY r, shards, level, above
+), placed AS (
+  SELECT a.r, a.shards, CAST(substr(c.name, 7) AS INTEGER) AS shard
+  FROM winners a JOIN winners b ON b.r = a.r AND b.shards = a.shards AND b.level = 2 AND b.above = a.name
+  JOIN winners c ON c.r = a.r AND c.shards = a.shards AND c.level = 3 AND c.above = b.name WHERE a.level = 1
+), powers AS (
+  SELECT 0 AS b, list_transform(range(32), lambda j: CASE WHEN j = 0 THEN 3988292384 ELSE CAST(1 AS BIGINT) << (j - 1) END) AS m
+  UNION ALL
+  SELECT b + 1, list_transform(m, lambda v: list_reduce(list_transform(range(32),
+    lambda j: CASE WHEN (v >> j) & 1 = 1 THEN m[j + 1] ELSE 0 END), lambda x, y: xor(x, y))) FROM powers WHERE b < 30
+), chunks AS (
+  SELECT r, i, substr(h, 2 * greatest(n - 64 * (i + 1), 0) + 1, 2 * least(64, n - 64 * i)) AS h
+  FROM (SELECT r, n, h, unnest(range((n + 63) // 64)) AS i FROM (SELECT r, strlen(text) AS n, hex(text) AS h FROM d))
+), bits AS (
+  SELECT r, i, flatten(list_transform(range(len(h) // 2), lambda k: list_transform(range(8),
+    lambda j: (CAST('0x' || substr(h, 2 * k + 1, 2) AS BIGINT) >> j) & 1))) AS b FROM chunks
+), moved AS (
+  SELECT r, i, 9 AS b, xor(list_reduce(list_prepend(4294967295, b),
+    lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS c FROM bits
+  UNION ALL
+  SELECT r, i, moved.b + 1, CASE WHEN (i >> (moved.b - 9)) & 1 = 1 THEN list_reduce(list_transform(range(32),
+    lambda j: CASE WHEN (c >> j) & 1 = 1 THEN m[j + 1] ELSE 0 END), lambda x, y: xor(x, y)) ELSE c END
+  FROM moved JOIN powers ON powers.b = moved.b WHERE moved.b < 31
+), crc AS (
+  SELECT r, bit_xor(c) AS crc FROM moved WHERE b = 31 GROUP BY r
+), t AS (
+  SELECT d.doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size, CAST(coalesce(crc, 0) AS BIGINT) AS text_crc32, 'key' AS law,
+         p.shard, g.shard AS grown_shard
+  FROM d JOIN placed p ON p.r = d.r AND p.shards = 8 JOIN placed g ON g.r = d.r AND g.shards = 9 LEFT JOIN crc ON crc.r = d.r
+)
+SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot FROM t
+""",
+    "op13_resampling": """
+WITH w AS (
+  SELECT 0 AS side, row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark
+), f AS (
+  SELECT side, r, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature FROM w
+), n AS (
+  SELECT side, r, feature, count(*) AS n FROM f GROUP BY ALL
+), bits AS (
+  SELECT feature, flatten(list_transform(range(strlen(feature)), lambda i: list_transform(range(8),
+    lambda j: (CAST('0x' || substr(hex(feature), 2 * i + 1, 2) AS BIGINT) >> j) & 1))) AS b FROM (SELECT DISTINCT feature FROM n)
+), crc AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, b),
+    lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 10000 AS bucket FROM bits
+), counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t
+  FROM n JOIN crc USING (feature) GROUP BY bucket
+), totals AS (
+  SELECT CAST(sum(s) AS DOUBLE) + 10000 AS all_s, CAST(sum(t) AS DOUBLE) + 10000 AS all_t FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * all_s / ((CAST(s AS DOUBLE) + 1) * all_t))) AS BIGINT) AS gain
+  FROM counts, totals
+), weights AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+  FROM n JOIN crc USING (feature) JOIN gains USING (bucket) WHERE side = 0 GROUP BY r
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000.0 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+      AS BIGINT) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+  FROM w LEFT JOIN weights ON weights.r = w.r WHERE side = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features DESC) AS place,
+         25 * (count(*) OVER (PARTITION BY n_words >= 20)) // 100 AS wanted FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= wanted THEN CAST(place AS BIGINT) END AS rank FROM ranked
 """,
 }

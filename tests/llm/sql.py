@@ -11,7 +11,7 @@ def _rows(columns, rows):
 
 def compare(spark, sf_dir, query, sql):
     connection = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     cursor = connection.execute(sql)
     wanted = _rows([c[0] for c in cursor.description], cursor.fetchall())
