@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from graphloom.session import spread
 
@@ -24,30 +25,55 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def map_batches(df: DataFrame, make, schema: str) -> DataFrame:
-    """``make(batch) -> dict of columns`` over Arrow batches; empty batches give nothing."""
+#: Rows of a batch whose Python values are held at once.
+SLICE_ROWS = 1000
+#: Tables of remembered values; they are emptied when a task ends, as Python workers live on.
+REMEMBERED: list[dict] = []
+
+
+def forget() -> None:
+    """Empty the tables of this worker. A function of the module, so that tasks reach the worker's own tables."""
+    for table in REMEMBERED:
+        table.clear()
+
+
+def map_batches(df: DataFrame, make, schema: str | StructType) -> DataFrame:
+    """``make(batch) -> dict of columns`` over Arrow batches of a bounded number of rows; empty ones give nothing.
+
+    Columns that are Arrow arrays already are passed on as they are, whatever their type.
+    """
     arrow = arrow_schema(schema)
+    names = [field.name for field in arrow]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                columns = make(batch)
-                arrays = [pa.array(columns[field.name], type=field.type) for field in arrow]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    columns = make(batch.slice(at, SLICE_ROWS))
+                    arrays = [
+                        c if isinstance(c := columns[field.name], pa.Array) else pa.array(c, type=field.type) for field in arrow
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+        finally:
+            forget()
 
     return df.mapInArrow(run, schema)
 
 
-@lru_cache(maxsize=64)
-def arrow_schema(schema: str) -> pa.Schema:
-    """The Arrow form of a flat schema string such as ``id long, text string``."""
-    kinds = {
-        "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(),
-        "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-        "array<double>": pa.list_(pa.float64()),
-    }
-    fields = [part.strip().split(" ", 1) for part in schema.split(",")]
-    return pa.schema([pa.field(name, kinds[kind.strip()]) for name, kind in fields])
+def arrow_schema(schema: str | StructType) -> pa.Schema:
+    """The Arrow form of a schema, as Spark itself maps types."""
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+
+
+def unused(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, lengthened until no column is called so in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -80,20 +106,42 @@ class WordHashes(dict):
 
 
 _WORDS = WordHashes()
+REMEMBERED.append(_WORDS)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
+#: Base of run hashes, odd and so with an inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, modulo 2**64; a bounded number is kept."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0][:n], _POWERS[1][:n]
+    with np.errstate(over="ignore"):
+        made = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(max(n, 1 << 14), base, np.uint64)
+            steps[0] = 1
+            made.append(np.cumprod(steps))
+    if n <= 1 << 18:
+        _POWERS[:] = made
+    return made[0][:n], made[1][:n]
+
+
 def rolling(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
-    """One 64-bit hash for every run of ``width`` consecutive word hashes."""
+    """One 64-bit hash for every run of ``width`` consecutive word hashes: a polynomial modulo 2**64, from prefix sums."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15 | 1)
     with np.errstate(over="ignore"):
-        total = np.zeros(n, np.uint64)
-        for i in range(width):
-            total = total * base + hashes[i : i + n]
+        powers, inverses = _powers(len(hashes))
+        sums = np.empty(len(hashes) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(hashes * inverses, out=sums[1:])
+        total = (sums[width:] - sums[:n]) * powers[width - 1 :]
     return mix64(total, seed)

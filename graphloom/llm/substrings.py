@@ -17,11 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from graphloom.llm.common import hash_words, map_batches, rolling, texts
+from graphloom.llm.common import hash_words, map_batches, rolling, texts, unused
 from graphloom.session import materialize, shuffle_width
 
 KMER = 5
+#: Windows of a text whose minimisers are found at once.
+LONGEST = 1 << 14
 #: Packed strings sorted together; a bucket sorted here is never cut.
 BLOCK_STRINGS = 4000
 #: Buckets with more documents are cut again by a second minimiser.
@@ -39,25 +42,39 @@ def super_kmers(words: np.ndarray, width: int, seed: int = 0) -> tuple[np.ndarra
     if windows <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     places = np.empty(windows, np.int64)
-    for at in range(0, windows, 1 << 14):
-        some = np.lib.stride_tricks.sliding_window_view(hashes[at : min(at + (1 << 14), windows) + span - 1], span)
-        places[at : at + len(some)] = some.argmin(axis=1) + np.arange(at, at + len(some))
+    for at in range(0, windows, LONGEST):
+        some = hashes[at : min(at + LONGEST, windows) + span - 1]
+        places[at : min(at + LONGEST, windows)] = at + _least_places(some, span)
     starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
     return starts, np.diff(np.append(starts, windows)), hashes[places[starts]].view(np.int64)
 
 
-def _key(value: str) -> int:
-    import xxhash
+def _least_places(hashes: np.ndarray, span: int) -> np.ndarray:
+    """Place of the least hash in each run of ``span``, the first of those with equal upper bits.
 
-    return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
+    Each place is packed below the upper bits. A run covers the end of one block of ``span`` and the start of the next,
+    whose least values are known from both sides.
+    """
+    bits = np.uint64((LONGEST + span).bit_length())  # the same for every text
+    packed = np.full(-(-len(hashes) // span) * span, np.iinfo(np.uint64).max, np.uint64)
+    packed[: len(hashes)] = hashes >> bits << bits | np.arange(len(hashes), dtype=np.uint64)
+    blocks = packed.reshape(-1, span)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    n = len(hashes) - span + 1
+    least = np.minimum(behind[:n], ahead[span - 1 : span - 1 + n])
+    return (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
 def window_hashes(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The windows of packed strings, one string after the other, as two hashes each, and their number in each string."""
-    hashed = [hash_words(s.split(b" ")) for s in strings]
-    one = [rolling(h, width, 1) for h in hashed]
-    two = [rolling(h ^ np.uint64(0x5851F42D4C957F2D), width, 2) for h in hashed]
-    return np.concatenate(one), np.concatenate(two), np.array([len(x) for x in one])
+    hashes = hash_words(b" ".join(strings).split(b" "))
+    ends = np.cumsum([s.count(b" ") + 1 for s in strings])
+    counts = np.diff(ends, prepend=0) - (width - 1)
+    # The runs that cross from one string into the next are left out.
+    inside = np.arange(counts.sum()) + np.repeat(np.arange(len(strings)) * (width - 1), counts)
+    one, two = rolling(hashes, width, 1), rolling(hashes ^ np.uint64(0x5851F42D4C957F2D), width, 2)
+    return one[inside], two[inside], counts
 
 
 def first_documents(strings: list[bytes], documents: np.ndarray, width: int) -> list[np.ndarray]:
@@ -78,15 +95,18 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
     ``key`` is a hash of the text, so that rows which share an id keep their own spans. ``spans`` holds starts and
     stops in turn. Documents without such windows have no row; rows without an id neither cover nor are covered.
     """
-    rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text")).where("id IS NOT NULL")
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), F.xxhash64(docs[text]).alias("key"), docs[text].alias("text"))
+    rows = rows.where("id IS NOT NULL AND text IS NOT NULL")
+    if rows.groupBy("id", "key").count().where("count > 1").limit(1).count():
+        rows = materialize(rows.distinct())  # equal rows are judged alike
 
     def cut(batch: pa.RecordBatch) -> dict:
         columns: dict = {name: [] for name in ("id", "key", "start", "windows", "minimiser")}
-        for number, value in zip(batch.column("id").to_pylist(), texts(batch, "text")):
+        for number, key, value in zip(batch.column("id").to_pylist(), batch.column("key").to_pylist(), texts(batch, "text")):
             starts, counts, minimisers = super_kmers(hash_words(value.encode().split()), width)
             if len(starts):
                 columns["id"].append(np.full(len(starts), number))
-                columns["key"].append(np.full(len(starts), _key(value)))
+                columns["key"].append(np.full(len(starts), key))
                 for name, values in (("start", starts), ("windows", counts), ("minimiser", minimisers)):
                     columns[name].append(values)
         return {name: np.concatenate(values) if values else np.empty(0, np.int64) for name, values in columns.items()}
@@ -96,8 +116,8 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
     shared = counted.where("lo < hi").select("minimiser", (F.col("k") > HOT).alias("hot"))
     parts = cuts.join(shared.hint("merge"), "minimiser")
     parts = parts.groupBy("id", "key").agg(F.collect_list(F.struct("start", "windows", "minimiser", "hot")).alias("cuts"))
-    keyed = rows.join(parts.select("id").distinct(), "id", "left_semi")
-    joined = keyed.join(parts.hint("merge"), "id")
+    keyed = rows.join(parts.select("id", "key"), ["id", "key"], "left_semi")
+    joined = keyed.join(parts.hint("merge"), ["id", "key"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,8 +163,6 @@ def _packed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
     """The packed strings of some documents."""
     out: list[tuple] = []
     for number, value, key, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "key", "cuts"))):
-        if value is None or _key(value) != key:
-            continue  # the cuts of another text under this id
         words = value.encode().split()
         for part in cuts:
             start, count = part["start"], part["windows"]
@@ -213,26 +231,28 @@ def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
     return map_batches(found, joined, "sid binary, runs array<long>")
 
 
-def kept_words(docs: DataFrame, keep: list[str], make, schema: str, width: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def kept_words(docs: DataFrame, keep: list[str], make, schema: str | StructType, width: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``make(batch, words, masks)`` over all rows of ``docs`` with the mask of kept words of each.
 
     Words are runs of non-blank bytes (blank: space and 9 to 13) of the whole text, unchanged. A null text has none.
     """
     spans = repeated_spans(docs, width, doc_id, text)
-    spans = spans.groupBy("id").agg(F.collect_list(F.struct("key", "spans")).alias("_spans")).withColumnRenamed("id", "_id")
-    rows = docs.select(*keep, docs[doc_id].cast("long").alias("_doc"), docs[text].alias("_text"))
-    joined = rows.join(spans.hint("shuffle_hash"), F.col("_doc") == F.col("_id"), "left").drop("_id", "_doc")
+    own, own_key, doc, doc_key, own_text, found = unused(keep, "_id", "_of", "_doc", "_key", "_text", "_spans")
+    spans = spans.toDF(own, own_key, found)
+    rows = docs.select(
+        *[docs[f"`{c}`"] for c in keep], docs[doc_id].cast("long").alias(doc), F.xxhash64(docs[text]).alias(doc_key), docs[text].alias(own_text)
+    )
+    same = (F.col(doc) == F.col(own)) & (F.col(doc_key) == F.col(own_key))
+    joined = rows.join(spans.hint("shuffle_hash"), same, "left").drop(own, own_key, doc, doc_key)
 
     def run(batch: pa.RecordBatch) -> dict:
         all_words, masks = [], []
-        for value, own in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
+        for value, parts in zip(batch.column(own_text).to_pylist(), batch.column(found).to_pylist()):
             words = (value or "").encode().split()
             edges = np.zeros(len(words) + 1, np.int64)
-            key = _key(value) if own else 0
-            for part in own or ():
-                if part["key"] == key:
-                    np.add.at(edges, part["spans"][0::2], 1)
-                    np.add.at(edges, part["spans"][1::2], -1)
+            if parts:
+                np.add.at(edges, parts[0::2], 1)
+                np.add.at(edges, parts[1::2], -1)
             all_words.append(words)
             masks.append(np.cumsum(edges[:-1]) == 0)
         return make(batch, all_words, masks)
@@ -261,7 +281,6 @@ def digests(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", text: str
 def strip_repeats(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated words taken out of ``text``; texts that lose nothing stay as they are."""
     names = docs.columns
-    kinds = {f.name: f.dataType.simpleString().replace("bigint", "long") for f in docs.schema}
 
     def make(batch: pa.RecordBatch, words: list, masks: list) -> dict:
         out = {name: batch.column(name) for name in names}
@@ -271,4 +290,4 @@ def strip_repeats(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", text
         ]
         return out
 
-    return kept_words(docs, names, make, ", ".join(f"{n} {kinds[n]}" for n in names), width, doc_id, text)
+    return kept_words(docs, names, make, docs.schema, width, doc_id, text)
