@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import hash_words, map_batches, mix64, rolling, texts
+from graphloom.llm.common import hash_words, map_batches, mix64, rolling, texts, unused
 from graphloom.operators.components import connected_components
 from graphloom.session import materialize
 
@@ -150,8 +150,9 @@ def picked(docs: DataFrame, ids: DataFrame, doc_id: str = "id", how: str = "left
     Beyond ``PICKED_IDS`` both sides are shuffled. Rows without an id match none.
     """
     few = ids.limit(PICKED_IDS + 1).count() <= PICKED_IDS
-    own = ids.select(F.col("id").alias("_picked"))
-    return docs.join(F.broadcast(own) if few else own.hint("merge"), docs[doc_id] == F.col("_picked"), how)
+    (name,) = unused(docs.columns, "_picked")
+    own = ids.select(F.col("id").alias(name))
+    return docs.join(F.broadcast(own) if few else own.hint("merge"), docs[doc_id] == F.col(name), how)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, hundredths: int, width: int) -> DataFrame:

@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm import common
 from graphloom.llm.common import map_batches, texts
 from graphloom.session import materialize
 
 #: Pieces that are packed together, on average. A group leaves about one sequence partly filled.
 GROUP_PIECES = 4096
 #: White-space chunks whose ids one worker remembers; longer ones are encoded each time.
-REMEMBERED = 800_000
+REMEMBERED = 150_000
 REMEMBERED_LENGTH = 64
 #: Written for the end of a word.
 MARK = "\x01"
@@ -73,6 +74,7 @@ class ChunkTokenizer:
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.spaces = regex.compile(r"\s+")
         self.chunks = _Chunks(self)
+        common.REMEMBERED.append(self.chunks)
 
     def consistent(self) -> bool:
         """Every entry, merged alone below its own rank, ends in its two halves."""
@@ -221,7 +223,8 @@ def pack(
     ``max_documents`` and ``max_attention`` default to values that the token capacity implies (as many documents as
     tokens, the square of the capacity), so that tokens alone bind. With the default weights the norm is plain best
     fit by tokens. Pieces are dealt by a hash to groups of about ``GROUP_PIECES``, which are packed alone: no task sees
-    more, and the loss is below one sequence a group. Ties go to the smaller id and piece. An empty table gives none.
+    more, also where rows repeat an id or have none, and the loss is below one sequence a group. Ties go to the smaller
+    id (null ids last) and piece. ``pieces`` is a written table; an empty one gives none.
     """
     documents = max_documents or capacity
     attention = float(max_attention or capacity**2)
@@ -237,7 +240,8 @@ def pack(
         packed["offset"] = offsets
         return packed
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    # The running number spreads rows that repeat an id or have none.
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(run, f"{kinds}, sequence_id long, offset long")
 
 

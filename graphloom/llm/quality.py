@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from graphloom.llm.common import map_batches, texts
 
@@ -92,7 +93,7 @@ class Model:
 def fit(labelled: DataFrame, pooled: float = POOLED, ridge: float = RIDGE) -> Model:
     """Learn from ``(statistics, quality)`` rows; rows whose quality is not 0 or 1 teach nothing.
 
-    Each task sends sums of outer products only. With a class missing, all scores are that of the other class; with
+    A row that repeats counts as often. Each task sends sums of outer products only. With a class missing, all scores are that of the other class; with
     neither they are one half.
     """
     width = len(FEATURES)
@@ -145,7 +146,10 @@ def solve(sums: np.ndarray, pooled: float = POOLED, ridge: float = RIDGE) -> Mod
 
 
 def score(table: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """Columns ``keep`` with ``score`` (0 to 1) and ``predicted`` for rows that hold ``statistics``."""
+    """Columns ``keep`` with ``score`` (0 to 1) and ``predicted`` for rows that hold ``statistics``.
+
+    A score of one half is predicted 1. Repeated rows are scored alike; an empty table gives none.
+    """
     fields = ", ".join(f"{name} {table.schema[name].dataType.simpleString().replace('bigint', 'long')}" for name in keep)
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -156,13 +160,32 @@ def score(table: DataFrame, model: Model, *keep: str) -> DataFrame:
     return map_batches(table.select(*keep, "statistics"), run, f"{fields}, score double, predicted int")
 
 
-def score_texts(docs: DataFrame, model: Model, names: list[str], text: str = "text") -> DataFrame:
-    """Columns ``names`` of ``docs`` with ``_score`` and ``_predicted``; null and empty texts are scored too."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString().replace('bigint', 'long')}" for f in docs.select(*names).schema)
+def with_statistics(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """``docs`` with its statistics in the array column ``name``; other columns, of any type, are passed on unread."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        rows = np.array([statistics(value) for value in texts(batch, text)], float)
-        found = model.scores(rows)
-        return {name: batch.column(name) for name in names} | {"_score": found, "_predicted": (found >= 0.5).astype(np.int32)}
+        found = {c: batch.column(c) for c in batch.schema.names}
+        return found | {name: [statistics(value) for value in texts(batch, text)]}
+
+    return map_batches(docs, run, StructType([*docs.schema.fields, StructField(name, ArrayType(DoubleType()))]))
 
-    return map_batches(docs.select(*names), run, f"{fields}, _score double, _predicted int")
+
+def accepted(model: Model, statistics_column: str) -> Column:
+    """Whether rows score at least one half, as a column expression over their statistics.
+
+    The difference of the two log densities is a quadratic form of the statistics. Empty texts have statistics and are
+    judged like any other; a row that ties is kept.
+    """
+    x = F.col(f"`{statistics_column}`")
+    terms = []
+    for k in (0, 1):
+        # z = A x - b, one row of the inverse factor at a time
+        a = model.inverse[k] / model.scale
+        b = model.inverse[k] @ (model.centre / model.scale + model.means[k])
+        z = [
+            F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in row]), lambda p, q: p * q), F.lit(-float(c)), lambda s, v: s + v)
+            for row, c in zip(a, b)
+        ]
+        squares = F.aggregate(F.array(*z), F.lit(0.0), lambda s, v: s + v * v)
+        terms.append(F.lit(float(model.bias[k])) - squares / 2)
+    return terms[1] >= terms[0]
