@@ -9,10 +9,13 @@ only.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "graphloom"
+from graphloom.llm.common import unused
+
 ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -218,7 +221,7 @@ _KINDS = (
 ANY = "|".join(pattern for pattern, _ in _KINDS)
 
 
-def pseudonym(match: Column, key: str = KEY) -> Column:
+def pseudonym(match: Column, key: str) -> Column:
     """The pseudonym of one found value; values that fail their check stay."""
     out = match
     for pattern, make in reversed(_KINDS):
@@ -226,23 +229,25 @@ def pseudonym(match: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, count: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, text: str = "text", key: str | None = None, count: str | None = None) -> DataFrame:
     """``docs`` with personal values in ``text`` replaced, and with their number in the column ``count`` if one is named.
 
-    Null texts stay null (number 0), empty ones empty; repeated rows change alike; other columns are untouched. An
-    empty table stays so. A text is searched once as a whole; only rows with a digit, ``@``, ``=``, ``:`` or
-    ``AKIA`` can hold anything.
+    Whoever knows the key can undo the pseudonyms: it belongs to the caller. Without one a random key is drawn for this
+    call, so that equal values stay linked within its result and nowhere else. Null texts stay null (number 0), empty
+    ones empty; repeated rows change alike; other columns are untouched, whatever their names. An empty table stays so.
+    A text is searched once as a whole; only rows with a digit, ``@``, ``=``, ``:`` or ``AKIA`` can hold anything.
     """
+    key = secrets.token_hex(16) if key is None else key
+    found, new = unused([*docs.columns, count or ""], "_found", "_new")
     own = F.col(f"`{text}`")
     suspect = own.rlike(r"[0-9@=:]|AKIA")
-    found = F.when(suspect, F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))
-    marked = docs.withColumn("_found", found).withColumn(
-        "_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key)))
+    marked = docs.withColumn(found, F.when(suspect, F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))).withColumn(
+        new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m, key)))
     )
     gaps = F.split(own, ANY, -1)
-    joined = F.concat(F.array_join(F.zip_with(gaps, F.concat(F.col("_new"), F.array(F.lit(""))), lambda g, v: F.concat(g, v)), ""))
-    out = marked.withColumn(text, F.when(F.col("_new").isNotNull(), joined).otherwise(own))
+    joined = F.concat(F.array_join(F.zip_with(gaps, F.concat(F.col(new), F.array(F.lit(""))), lambda g, v: F.concat(g, v)), ""))
+    out = marked.withColumn(text, F.when(F.col(new).isNotNull(), joined).otherwise(own))
     if count:
-        changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-        out = out.withColumn(count, F.coalesce(F.when(F.col("_new").isNotNull(), changed), F.lit(0)).cast("long"))
-    return out.select(*docs.columns, *([count] if count else []))
+        changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x))
+        out = out.withColumn(count, F.coalesce(F.when(F.col(new).isNotNull(), changed), F.lit(0)).cast("long"))
+    return out.drop(found, new)

@@ -26,7 +26,8 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), count="n_pseudonyms")
+    key = spark.conf.get("spark.graphloom.pseudonymKey", None)
+    return pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), key=key, count="n_pseudonyms")
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     table = materialize(quality.document_statistics(docs.select("doc_id", "text"), "doc_id"))
-    table = table.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+    table = table.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.fit(table.where("NOT held_out").join(labels, "doc_id"))
     return quality.score(table, model, "doc_id", "held_out")
