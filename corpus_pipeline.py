@@ -6,33 +6,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import neardup, packing, pii, quality, substrings
+from graphloom.llm.common import unused
 from graphloom.session import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned from ``labels``, does not reject."""
-    names = docs.columns
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
-    own = docs.select(F.col("doc_id").alias("_id"), "text")
-    model = quality.fit(quality.document_statistics(own.join(labels, "_id"), "_quality").withColumnRenamed("_quality", "quality"))
-    scored = quality.score_texts(docs, model, names)
-    return scored.where("_predicted = 1").select(*names)
+    """Documents that the quality classifier, learned from ``labels``, does not reject.
+
+    Statistics are computed once and written beside the rows; only they, not the texts, meet the labels. Null and empty
+    texts are judged like others, also rows without an id; without any label all rows stay. An empty table stays so.
+    """
+    own, label, column = unused(docs.columns, "_id", "_quality", "_statistics")
+    rows = materialize(quality.with_statistics(docs, column))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias(own), F.col("quality").alias(label))
+    known = rows.select(F.col("doc_id").alias(own), F.col(f"`{column}`").alias("statistics")).join(labels, own)
+    model = quality.fit(known.select("statistics", F.col(label).alias("quality")))
+    return rows.where(quality.accepted(model, column)).drop(column)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of the smallest id of each group of near-duplicates, and those without an id."""
-    dropped = neardup.near_duplicates(docs, hundredths=80).where("NOT kept").select(F.col("doc_id").alias("id"))
-    return neardup.picked(docs, materialize(dropped), "doc_id", "left_anti")
+    """One row of the smallest id of each group of near-duplicates, and the rows without an id.
+
+    Of rows that repeat an id, the one with the greatest text stays, which is the one that is compared; where equal texts
+    repeat, any of them. Null and empty texts are duplicates of nothing.
+    """
+    judged = neardup.near_duplicates(docs, hundredths=80)
+    dropped = materialize(judged.where("NOT kept").select(F.col("doc_id").alias("id")))
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        names = docs.columns
+        (row,) = unused(names, "_row")
+        own = F.struct(F.col("text").isNotNull(), F.col("text"))
+        one = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max_by(F.struct(*[f"`{c}`" for c in names]), own).alias(row))
+        docs = one.select(f"`{row}`.*").unionByName(docs.where("doc_id IS NULL"))
+    return neardup.picked(docs, dropped, "doc_id", "left_anti")
 
 
 def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of windows of 50 words that a document with a smaller id holds too."""
+    """Texts without the words of windows of 50 words that a document with a smaller id holds too; no row leaves."""
     return _with_length(substrings.strip_repeats(docs, width=50))
 
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms for personal values."""
-    return _with_length(pii.pseudonymise(docs))
+    """Texts with pseudonyms for personal values, under the session's key or else one of this run; no row leaves."""
+    return _with_length(pii.pseudonymise(docs, key=spark.conf.get("spark.graphloom.pseudonymKey", None)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
