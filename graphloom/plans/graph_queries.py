@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
-from graphloom.operators import components, graph, resolve, vectors
+from graphloom.operators import components, descent, graph, resolve, vectors
 from graphloom.plans import frames
 from graphloom.plans.frames import (
     GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, PASSAGE_NAMES, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
@@ -376,6 +376,37 @@ def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.knn_lsh(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=10, cutoff=0.3, bits=4)
 
 
+@query("knn_descent")
+def knn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return descent.knn_descent(rows, "vec_id", "embedding", k=10, cutoff=0.3, pool=40, leaf=64, tables=4)
+
+
+RECALL_SQL = f"SELECT count(*) AS exact_rows, true AS recall_reached, 0::BIGINT AS wrong_scores FROM ({KNN_SQL})"
+
+
+def _recall(found: DataFrame, wanted: DataFrame, share: float) -> DataFrame:
+    """One row: the exact neighbours, whether the wanted share of them was found, and how many have another score."""
+    named = found.select("id", "other", F.col("score").alias("own"))
+    both = wanted.join(named, ["id", "other"], "left").agg(
+        F.count(F.lit(1)).alias("exact_rows"), F.count("own").alias("_found"),
+        F.count_if(F.abs(F.col("own") - F.col("score")) > 1e-6).alias("wrong_scores"),
+    )
+    return both.select("exact_rows", (F.col("_found") >= F.col("exact_rows") * share).alias("recall_reached"), "wrong_scores")
+
+
+@query("knn_descent_recall", RECALL_SQL)
+def knn_descent_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At least 0.95 of the exact neighbours, with their scores."""
+    return _recall(knn_descent(spark, sf_dir), _knn(spark, sf_dir), 0.95)
+
+
+@query("knn_lsh_recall", RECALL_SQL)
+def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At least 0.95 of the exact neighbours, with their scores."""
+    return _recall(knn_lsh(spark, sf_dir), _knn(spark, sf_dir), 0.95)
+
+
 @query(
     "similar_components",
     closure_sql(f"SELECT id AS src, other AS dst FROM ({KNN_SQL})", "SELECT vec_id AS id FROM embeddings"),
