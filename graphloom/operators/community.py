@@ -1,180 +1,16 @@
-"""Hierarchical communities: detection, hierarchy tables, ranks, sizes, contents and text.
+"""Hierarchical communities: hierarchy tables, ranks, sizes, contents and text.
 
-Membership is the long table ``(entity, level, community)``, one row per entity and level.
+Detection is in :mod:`leiden`. Membership is the long table ``(entity, level, community)``, one row per entity and level.
 """
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.components import connected_components
-from graphloom.session import materialize
+from graphloom.operators.leiden import detect_communities, modularity  # noqa: F401
 
 REPORT_LEVELS = (0, 1, 4)
-GAIN_DIGITS = 9
-
-
-# --- detection --------------------------------------------------------------------------------------------------
-
-
-def _arcs(edges: DataFrame) -> DataFrame:
-    """Both directions of undirected weighted edges; a loop appears once, with twice its weight."""
-    loop = F.col("src") == F.col("dst")
-    ends = F.when(loop, F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), (F.col("weight") * 2).alias("w")))).otherwise(
-        F.array(
-            F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("w")),
-            F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), F.col("weight").alias("w")),
-        )
-    )
-    return edges.select(F.inline(ends))
-
-
-def modularity(edges: DataFrame, membership: DataFrame, resolution: float = 1.0) -> DataFrame:
-    """One row, ``modularity``, of a ``(id, community)`` partition of an undirected weighted graph."""
-    arcs = _arcs(edges)
-    sides = arcs.join(membership.select(F.col("id").alias("a"), F.col("community").alias("ca")), "a").join(
-        membership.select(F.col("id").alias("b"), F.col("community").alias("cb")), "b"
-    )
-    per_community = sides.groupBy("ca").agg(
-        F.sum("w").alias("total"), F.sum(F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0)).alias("inner")
-    )
-    twice_m = F.sum("total")
-    return per_community.agg(
-        (
-            F.sum("inner") / twice_m - F.lit(resolution) * F.sum(F.col("total") * F.col("total")) / (twice_m * twice_m)
-        ).alias("modularity")
-    )
-
-
-def _move_round(arcs: DataFrame, current: DataFrame, twice_m: float, half: int, resolution: float) -> DataFrame:
-    """Best community of each node given everyone's current one; half of the nodes, by hash, may move.
-
-    Row: node, its community before and after, its degree, and its weight into the community it was in. Three
-    shuffles: community totals, weights by node and community, best choice by node. Each is summed up before it moves.
-    """
-    totals = current.groupBy("community").agg(F.sum("k").alias("total"))
-    toward = arcs.where(F.col("a") != F.col("b")).join(current.select(F.col("id").alias("b"), "community"), "b")
-    toward = toward.select(F.col("a").alias("id"), "community", "w", "k", F.lit(False).alias("own"))
-    # The own community is always a choice, also when no neighbour is in it.
-    stay = current.select("id", "community", F.lit(0).cast("long").alias("w"), "k", F.lit(True).alias("own"))
-    choices = toward.union(stay).groupBy("id", "community").agg(
-        F.sum("w").alias("into"), F.max("k").alias("k"), F.max("own").alias("own")
-    )
-    rest = F.col("total") - F.when(F.col("own"), F.col("k")).otherwise(0)
-    gain = F.round(F.col("into") - F.lit(resolution) * F.col("k") * rest / F.lit(twice_m), GAIN_DIGITS)
-    scored = choices.join(totals, "community").withColumn("gain", gain)
-    # Greatest gain first, then staying, then the smallest community id.
-    best = F.min_by("community", F.struct(-F.col("gain"), ~F.col("own"), F.col("community")))
-    picked = scored.groupBy("id").agg(
-        best.alias("best"),
-        F.max(F.when(F.col("own"), F.col("community"))).alias("before"),
-        F.max(F.when(F.col("own"), F.col("into"))).alias("inner"),
-        F.max("k").alias("k"),
-    )
-    may_move = F.pmod(F.xxhash64("id", F.lit(half)), F.lit(2)) == 0
-    return picked.select(
-        "id", "before", F.when(may_move, F.col("best")).otherwise(F.col("before")).alias("after"),
-        (F.col("best") != F.col("before")).alias("unsettled"), "k", "inner",
-    )
-
-
-def _quality(moved: DataFrame, loops: float, twice_m: float, resolution: float) -> tuple[float, int]:
-    """Modularity of the state before the round, and how many nodes would rather be elsewhere."""
-    totals = moved.groupBy("before").agg(
-        F.sum("k").alias("total"), F.sum("inner").alias("inner"), F.sum(F.col("unsettled").cast("long")).alias("unsettled")
-    )
-    row = totals.agg(
-        F.sum("inner").alias("inner"),
-        F.sum(F.col("total").cast("double") * F.col("total")).alias("squares"),
-        F.sum("unsettled").alias("unsettled"),
-    ).head()
-    return (row.inner + loops) / twice_m - resolution * row.squares / (twice_m * twice_m), row.unsettled
-
-
-def _local_moves(edges: DataFrame, nodes: DataFrame, twice_m: float, tolerance: float, resolution: float) -> DataFrame:
-    """Move nodes until nobody gains, or until the best quality rose by less than the tolerance in two half rounds.
-
-    Returned is the best state seen, which is at worst the starting one.
-    """
-    arcs = _arcs(edges)
-    degrees = arcs.groupBy("a").agg(F.sum("w").alias("k"))
-    arcs = materialize(arcs.join(degrees, "a"))
-    loops = edges.where(F.col("src") == F.col("dst")).agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("w")).head().w * 2
-    current = materialize(
-        nodes.join(degrees.withColumnRenamed("a", "id"), "id", "left").select(
-            "id", F.col("id").alias("community"), F.coalesce("k", F.lit(0)).alias("k")
-        )
-    )
-    best, history = current, []
-    for turn in count():
-        moved = materialize(_move_round(arcs, current, twice_m, turn, resolution))
-        quality, unsettled = _quality(moved, float(loops), twice_m, resolution)
-        if not history or quality >= max(history):
-            best = current
-        history.append(quality)
-        # Two half rounds let every node move once.
-        stalled = turn >= 2 and max(history) - max(history[: turn - 1]) < tolerance
-        if unsettled == 0 or stalled:
-            break
-        current = moved.select("id", F.col("after").alias("community"), "k")
-    return best.select("id", "community")
-
-
-def _connected_parts(edges: DataFrame, nodes: DataFrame, communities: DataFrame) -> DataFrame:
-    """Split communities into their connected parts, named by their smallest member."""
-    a = communities.select(F.col("id").alias("src"), F.col("community").alias("ca"))
-    b = communities.select(F.col("id").alias("dst"), F.col("community").alias("cb"))
-    inner = edges.join(a, "src").join(b, "dst").where(F.col("ca") == F.col("cb")).select("src", "dst")
-    return connected_components(materialize(inner), nodes).select("id", F.col("component").alias("community"))
-
-
-def detect_communities(
-    edges: DataFrame, nodes: DataFrame, max_levels: int = 10, tolerance: float = 1e-4, resolution: float = 1.0,
-) -> DataFrame:
-    """``(entity, level, community)`` of nested communities that raise weighted modularity, finest level first.
-
-    ``edges`` is an undirected weighted graph ``(src, dst, weight)``. At each level nodes move to the neighbouring
-    community with the greatest gain, half of them at a time, communities are split into connected parts, and each
-    part becomes a node of the next level with the summed weights. It ends when a level would merge nothing. A community
-    is named by its smallest entity. All steps are joins and partial sums over written tables.
-    """
-    weight_sum = edges.agg(F.sum("weight").alias("w")).head().w
-    base = materialize(nodes.select("id").distinct())
-    if not weight_sum:
-        return base.select(F.col("id").alias("entity"), F.lit(0).alias("level"), F.col("id").alias("community"))
-    twice_m = 2.0 * float(weight_sum)
-    level_edges = materialize(edges.select("src", "dst", F.col("weight").cast("long").alias("weight")))
-    level_nodes, size = base, base.count()
-    reached = base.select(F.col("id").alias("entity"), F.col("id").alias("community"))
-    levels: list[DataFrame] = []
-    for level in range(max_levels):
-        moved = _local_moves(level_edges, level_nodes, twice_m, tolerance, resolution)
-        parts = materialize(_connected_parts(level_edges, level_nodes, moved))
-        next_nodes = materialize(parts.select(F.col("community").alias("id")).distinct())
-        next_size = next_nodes.count()
-        if next_size == size and levels:
-            break
-        reached = materialize(
-            reached.select("entity", F.col("community").alias("id")).join(parts, "id").select("entity", "community")
-        )
-        levels.append(reached.select("entity", F.lit(level).alias("level"), "community"))
-        if next_size == size:
-            break
-        a = parts.select(F.col("id").alias("src"), F.col("community").alias("ca"))
-        b = parts.select(F.col("id").alias("dst"), F.col("community").alias("cb"))
-        level_edges = materialize(
-            level_edges.join(a, "src").join(b, "dst")
-            .groupBy(F.least("ca", "cb").alias("src"), F.greatest("ca", "cb").alias("dst"))
-            .agg(F.sum("weight").alias("weight"))
-        )
-        level_nodes, size = next_nodes, next_size
-    result = levels[0]
-    for more in levels[1:]:
-        result = result.union(more)
-    return result
 
 
 # --- hierarchy --------------------------------------------------------------------------------------------------

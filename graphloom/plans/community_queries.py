@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.operators import community, graph, modelio
+from graphloom.operators.components import connected_components
 from graphloom.plans import frames
-from graphloom.session import spread
-from graphloom.plans.frames import TRADE_EDGES, TRADE_MEMBERSHIP, TRADE_MENTIONS, TRADE_NODES
+from graphloom.session import materialize, spread
+from graphloom.plans.frames import GAZETTEER, PASSAGE_NAMES, TRADE_EDGES, TRADE_MEMBERSHIP, TRADE_MENTIONS, TRADE_NODES
 
 QUERIES = {}
 ORACLE = {}
@@ -27,13 +28,71 @@ def query(name: str, sql: str | None = None):
 NAMED_MEMBERS = f"SELECT entity, level, level || '-' || community AS community FROM ({TRADE_MEMBERSHIP})"
 
 
+def _term_graph(spark: SparkSession, sf_dir: str, names: DataFrame, max_words: int) -> tuple[DataFrame, DataFrame]:
+    """Terms that share sentences of all documents, and the terms."""
+    documents = spread(frames.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    mentions = graph.entity_mentions(documents, names, "doc_id", "text", max_words=max_words)
+    return graph.cooccurrence_edges(mentions, "doc_id"), names
+
+
 @query("communities")
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detected communities of the term graph extracted from all documents."""
-    documents = spread(frames.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    terms = frames.gazetteer(spark, sf_dir)
-    edges = graph.cooccurrence_edges(graph.entity_mentions(documents, terms, "doc_id", "text"), "doc_id")
-    return community.detect_communities(edges, terms)
+    edges, terms = _term_graph(spark, sf_dir, frames.gazetteer(spark, sf_dir), 1)
+    return community.detect_communities(materialize(edges), terms)
+
+
+def _checked(edges: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of what must hold for detected communities, each counted or compared over all rows."""
+    counts = found.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("level").alias("levels"), F.max("level").alias("top"))
+    counts = nodes.select(F.col("id").alias("entity")).join(counts, "entity", "left").agg(
+        F.count(F.lit(1)).alias("entities"), F.count_if(F.expr("n IS NULL OR n <> levels OR n <> top + 1")).alias("not_once_per_level")
+    )
+    above = found.select("entity", (F.col("level") - 1).alias("level"), F.col("community").alias("parent"))
+    torn = found.join(above, ["entity", "level"]).groupBy("level", "community").agg(F.count_distinct("parent").alias("n")).where("n > 1")
+    named = found.groupBy("level", "community").agg(F.min("entity").alias("least")).where("least <> community")
+    values, apart = [], []
+    for level in range(found.agg(F.max("level").alias("top")).head().top + 1):
+        own = found.where(F.col("level") == level).select(F.col("entity").alias("id"), "community")
+        values.append(community.modularity(edges, own).head().modularity)
+        src, dst = own.toDF("src", "cs"), own.toDF("dst", "cd")
+        inner = edges.join(src, "src").join(dst, "dst").where("cs = cd").select("src", "dst")
+        parts = connected_components(inner, own).select("component").distinct().count()
+        apart.append(parts - own.select("community").distinct().count())
+    rises = all(b >= a - 1e-9 for a, b in zip(values, values[1:]))
+    alone = nodes.select("id", F.col("id").alias("community"))
+    better = values[-1] > community.modularity(edges, alone).head().modularity
+    return counts.crossJoin(torn.agg(F.count(F.lit(1)).alias("not_nested"))).crossJoin(named.agg(F.count(F.lit(1)).alias("not_smallest"))).select(
+        "*", F.lit(sum(apart)).cast("long").alias("not_connected"), F.lit(rises).alias("modularity_rises"), F.lit(better).alias("better_than_alone")
+    )
+
+
+def _checked_sql(nodes: str) -> str:
+    return f"""
+    SELECT count(*) AS entities, 0::BIGINT AS not_once_per_level, 0::BIGINT AS not_nested, 0::BIGINT AS not_smallest,
+           0::BIGINT AS not_connected, true AS modularity_rises, true AS better_than_alone FROM ({nodes})
+    """
+
+
+@query("communities_checked", _checked_sql(GAZETTEER))
+def communities_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term once per level, levels nested, communities connected and named by their smallest term, rising modularity."""
+    edges, terms = (materialize(frame) for frame in _term_graph(spark, sf_dir, frames.gazetteer(spark, sf_dir), 1))
+    return _checked(edges, terms, materialize(community.detect_communities(edges, terms)))
+
+
+@query("communities_names")
+def communities_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detected communities of all names of one to three words."""
+    edges, names = _term_graph(spark, sf_dir, frames.passage_names(spark, sf_dir), 3)
+    return community.detect_communities(materialize(edges), names)
+
+
+@query("communities_names_checked", _checked_sql(PASSAGE_NAMES))
+def communities_names_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for names of one to three words."""
+    edges, names = (materialize(frame) for frame in _term_graph(spark, sf_dir, frames.passage_names(spark, sf_dir), 3))
+    return _checked(edges, names, materialize(community.detect_communities(edges, names)))
 
 
 @query(

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, connection, name):
 def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     own = {name for name in QUERIES if not name.startswith("op") and name != "pipeline"}
-    assert own - set(ORACLE) == {"communities", "knn_descent", "knn_lsh"}
+    assert own - set(ORACLE) == {"communities", "communities_names", "knn_descent", "knn_lsh"}
 
 
 def test_entry_has_rows(spark):
