@@ -72,6 +72,38 @@ def parse_triples(responses: DataFrame, key: str) -> tuple[DataFrame, DataFrame]
     return triples, lines.where(~fits | empty_part).select(key, "line")
 
 
+def resolution_requests(groups: DataFrame, max_names: int = 200) -> tuple[DataFrame, DataFrame]:
+    """Requests that ask which names of a candidate group are one thing, and links ``(request_id, group_id)``.
+
+    ``groups`` has one row ``(group_id, entity_id)`` per name. A group of more than ``max_names`` names is asked in parts;
+    names that agree without case, punctuation and spaces share a part.
+    """
+    sizes = groups.groupBy("group_id").agg(F.ceil(F.count(F.lit(1)) / max_names).alias("_parts"))
+    form = F.regexp_replace(F.lower("entity_id"), r"[^\p{L}\p{N}]", "")
+    placed = groups.join(sizes, "group_id").withColumn("part", F.pmod(F.xxhash64(form), F.col("_parts")))
+    lists = placed.groupBy("group_id", "part").agg(F.array_sort(F.collect_set("entity_id")).alias("names"))
+    asked = lists.where(F.size("names") > 1).select("group_id", F.array_join("names", "\n").alias("text"))
+    return prompt_requests(asked, "group_id", "text", RESOLUTION_TEMPLATE, RESOLUTION_SYSTEM)
+
+
+def parse_resolution(replies: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Replies ``(request_id, group_id, response)`` to decisions ``(group_id, entity_id)`` and rejects of the same form as the replies.
+
+    A reply is a JSON list of lists of names to merge, prose around it is passed over. Null, blank and empty lists mean no
+    merge; text without such a list is rejected. Names that the candidate group does not hold are left out, and
+    lists of fewer than two names say nothing. A decision's group is named by candidate group and smallest name.
+    """
+    body = F.regexp_extract("response", r"(?s)\[.*\]", 0)
+    read = replies.where(F.col("response").rlike(r"\S")).withColumn("_lists", F.from_json(body, "array<array<string>>"))
+    rejects = read.where(F.col("_lists").isNull()).select("request_id", "group_id", "response")
+    merges = read.select("request_id", "group_id", F.posexplode("_lists").alias("_place", "_names"))
+    named = merges.select("request_id", "group_id", "_place", F.explode(F.array_distinct("_names")).alias("entity_id"))
+    known = named.join(groups.select("group_id", "entity_id").distinct(), ["group_id", "entity_id"], "left_semi")
+    lists = known.groupBy("request_id", "group_id", "_place").agg(F.min("entity_id").alias("_lead"), F.count(F.lit(1)).alias("_n"))
+    kept = known.join(lists.where(F.col("_n") > 1), ["request_id", "group_id", "_place"])
+    return kept.select(F.concat_ws("|", F.col("group_id").cast("string"), "_lead").alias("group_id"), "entity_id").distinct(), rejects
+
+
 def contact_fields(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, name, emails, phones)`` of texts that hold at least one e-mail address, phone number or name line."""
     found = df.select(

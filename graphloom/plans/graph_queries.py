@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
-from graphloom.operators import components, descent, graph, resolve, vectors
+from graphloom.operators import components, descent, graph, modelio, resolve, vectors
 from graphloom.plans import frames
 from graphloom.plans.frames import (
     GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, PASSAGE_NAMES, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
@@ -147,26 +147,35 @@ def entities_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.entities_per_document(frames.supply_documents(spark, sf_dir), mentions)
 
 
-@query(
-    "entity_token_regression",
-    rf"""
+REGRESSION_SQL = rf"""
     SELECT round(regr_slope(entities, tokens), 6) AS slope, round(regr_intercept(entities, tokens), 6) AS intercept,
            round(regr_r2(entities, tokens), 6) AS r2, count(*) AS n
     FROM (SELECT d.doc_id, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]')) AS tokens,
                  coalesce(entities, 0) AS entities
           FROM documents d LEFT JOIN
             (SELECT doc_id, count(DISTINCT id) AS entities FROM ({MENTIONS_SQL}) GROUP BY 1) m ON d.doc_id = m.doc_id)
-    """,
-)
-def entity_token_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+
+
+def _regression(spark: SparkSession, sf_dir: str, mentions: DataFrame) -> DataFrame:
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    pairs = _mentions(spark, sf_dir).select("doc_id", F.col("id").alias("entity_id")).distinct()
+    pairs = mentions.select("doc_id", F.col("id").alias("entity_id")).distinct()
     counts = graph.entities_per_document(documents, pairs)
     sized = documents.select("doc_id", text.token_count(F.col("text")).alias("tokens")).join(counts, "doc_id")
     fit = graph.linear_fit(sized, "entity_count", "tokens")
     return fit.select(*[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")], "n")
 
 
+@query("entity_token_regression", REGRESSION_SQL)
+def entity_token_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _regression(spark, sf_dir, _mentions(spark, sf_dir))
+
+
+@query("entity_token_regression_names", REGRESSION_SQL.replace(MENTIONS_SQL, NAME_MENTIONS_SQL))
+def entity_token_regression_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _regression(spark, sf_dir, _name_mentions(spark, sf_dir))
+
+
 DEGREE_SQL = f"""
 SELECT n.id, count(e.id) AS degree FROM ({SUPPLY_NODES}) n
 LEFT JOIN (SELECT src AS id FROM ({SUPPLY_EDGES}) UNION ALL SELECT dst FROM ({SUPPLY_EDGES}) WHERE src <> dst) e
@@ -290,6 +299,27 @@ def term_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_components(edges, frames.gazetteer(spark, sf_dir))
 
 
+NAME_EDGES = f"SELECT src, dst FROM ({COOCCUR_SQL.replace(MENTIONS_SQL, NAME_MENTIONS_SQL)})"
+
+
+@query(
+    "term_components_names",
+    f"""
+    WITH RECURSIVE e AS MATERIALIZED (SELECT src AS a, dst AS b FROM ({NAME_EDGES}) UNION SELECT dst, src FROM ({NAME_EDGES})),
+    c(id, component) USING KEY (id) AS (
+      SELECT id, id FROM ({PASSAGE_NAMES})
+      UNION
+      SELECT u.id, min(v.component) FROM recurring.c u JOIN e ON e.a = u.id JOIN recurring.c v ON v.id = e.b
+      GROUP BY u.id, u.component HAVING min(v.component) < u.component)
+    SELECT id, component FROM c
+    """,
+)
+def term_components_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components over names of one to three words, names without a neighbour included."""
+    edges = graph.cooccurrence_edges(_name_mentions(spark, sf_dir), "doc_id")
+    return components.connected_components(materialize(edges), frames.passage_names(spark, sf_dir))
+
+
 # --- vectors ----------------------------------------------------------------------------------------------------
 
 
@@ -460,6 +490,43 @@ def entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.entity_resolution(_groups(spark, sf_dir))
 
 
+REPLIED_SQL = f"""
+SELECT group_id, entity_id, min(entity_id) OVER (PARTITION BY group_id, regexp_replace(lower(entity_id), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS survivor
+FROM ({GROUPS_SQL}) WHERE length(group_id) % 4 <> 0
+"""
+
+
+def _replies(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Stands in for a model's replies: lists by normal form in prose; groups by the length of their name get no usable one."""
+    form = resolve.normal_form(F.col("entity_id"))
+    lists = groups.groupBy("group_id", form.alias("form")).agg(F.array_sort(F.collect_list("entity_id")).alias("names"))
+    body = lists.groupBy("group_id").agg(F.to_json(F.array_sort(F.collect_list("names"))).alias("json"))
+    usable = F.concat(F.lit("Here are the lists:\n"), "json", F.lit("\nDone."))
+    text_of = F.when(F.length("group_id") % 4 == 0, F.lit("I can't tell.")).otherwise(usable)
+    return links.join(body, "group_id").select("request_id", "group_id", text_of.alias("response"))
+
+
+@query("resolution_replies", f"SELECT entity_id AS id, survivor FROM ({REPLIED_SQL}) WHERE entity_id <> survivor")
+def resolution_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per candidate group, replies, decisions, and the entities that they merge into others."""
+    groups = materialize(_groups(spark, sf_dir))
+    _, links = modelio.resolution_requests(groups, max_names=10**6)
+    decisions, _ = modelio.parse_resolution(_replies(links, groups), groups)
+    merges = materialize(resolve.entity_resolution(groups, decisions))
+    return resolve.survivors(frames.named_entities(spark, sf_dir), merges)
+
+
+@query(
+    "resolution_rejects",
+    f"SELECT DISTINCT group_id FROM ({GROUPS_SQL}) WHERE length(group_id) % 4 = 0",
+)
+def resolution_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate groups whose reply could not be read."""
+    groups = materialize(_groups(spark, sf_dir))
+    _, links = modelio.resolution_requests(groups, max_names=10**6)
+    return modelio.parse_resolution(_replies(links, groups), groups)[1].select("group_id").distinct()
+
+
 def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     merges = materialize(entity_resolution(spark, sf_dir))
     return resolve.survivors(frames.named_entities(spark, sf_dir), merges)

@@ -176,6 +176,17 @@ def latest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("user_id", "event_id", "ts", "event_type")
 
 
+@query("latest_page_sql", ORACLE["latest_page"])
+def latest_page_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as SQL text at the source."""
+    statement = """
+        SELECT user_id, event_id, ts, event_type
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS place FROM visits WHERE LENGTH(props) > 0)
+        WHERE place = 1
+    """
+    return tables.read_sql(spark, statement, {"visits": table(spark, sf_dir, "events")})
+
+
 @query(
     "dedup_clean_page",
     """

@@ -1,6 +1,6 @@
 import random
 
-from graphloom.operators import resolve
+from graphloom.operators import modelio, resolve
 
 
 def entities(spark, ids, block="b"):
@@ -88,3 +88,26 @@ def test_merge(spark, rows):
     assert resolve.merge_edges(edges, mapping, keep_loops=False).count() == 3
     mentions = spark.createDataFrame([(1, "b"), (1, "c"), (2, "e")], "doc_id int, entity_id string")
     assert rows(resolve.merge_mentions(mentions, mapping)) == [(1, "a"), (2, "e")]
+
+
+def test_requests_and_replies(spark):
+    rows = [("g1", n) for n in ("Old One", "old-one", "Old Two", "oldtwo")] + [("g2", "a b"), ("g2", "A.B")] + [("g3", "x"), ("g4", "y1"), ("g4", "y2")]
+    groups = spark.createDataFrame(rows, "group_id string, entity_id string")
+    requests, links = modelio.resolution_requests(groups)
+    prompts = {r.request_id: r for r in requests.collect()}
+    of = {r.group_id: r.request_id for r in links.collect()}
+    assert set(of) == {"g1", "g2", "g4"} and "Old One\nOld Two\nold-one\noldtwo" in prompts[of["g1"]].prompt
+    assert all(r.system == modelio.RESOLUTION_SYSTEM for r in prompts.values())
+    answers = {
+        "g1": 'Sure:\n[["Old One", "old-one", "unknown"], ["Old Two", "oldtwo"], ["Old One"]]', "g2": "I can't tell.", "g4": "[]",
+    }
+    replies = spark.createDataFrame([(of[g], g, t) for g, t in answers.items()] + [("r", "g4", None), ("r", "g4", '[["y1", 3')], "request_id string, group_id string, response string")
+    decisions, rejects = modelio.parse_resolution(replies, groups)
+    assert sorted(map(tuple, decisions.collect())) == [
+        ("g1|Old One", "Old One"), ("g1|Old One", "old-one"), ("g1|Old Two", "Old Two"), ("g1|Old Two", "oldtwo"),
+    ]
+    assert sorted(r.response for r in rejects.collect()) == ["I can't tell.", '[["y1", 3']
+    parts, part_links = modelio.resolution_requests(groups, max_names=2)
+    held = {r.request_id: r.prompt for r in parts.collect()}
+    together = [held[r.request_id] for r in part_links.collect() if r.group_id == "g1"]
+    assert any("Old One" in p and "old-one" in p for p in together) and any("Old Two" in p and "oldtwo" in p for p in together)
