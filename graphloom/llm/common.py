@@ -27,25 +27,28 @@ def vocabulary_path(name: str) -> str:
 
 #: Rows of a batch whose Python values are held at once.
 SLICE_ROWS = 1000
-#: Tables of remembered values; they are emptied when a task ends, as Python workers live on.
-REMEMBERED: list[dict] = []
+#: Tables of remembered values by name. Python workers live on, so a task empties all but the one it names itself.
+REMEMBERED: dict[str, dict] = {}
 
 
-def forget() -> None:
-    """Empty the tables of this worker. A function of the module, so that tasks reach the worker's own tables."""
-    for table in REMEMBERED:
-        table.clear()
+def forget(keep: str | None) -> None:
+    """Empty this worker's tables but one. A function of the module, so that tasks reach the worker's own tables."""
+    for name, table in REMEMBERED.items():
+        if name != keep:
+            table.clear()
 
 
-def map_batches(df: DataFrame, make, schema: str | StructType) -> DataFrame:
+def map_batches(df: DataFrame, make, schema: str | StructType, keep: str | None = None) -> DataFrame:
     """``make(batch) -> dict of columns`` over Arrow batches of a bounded number of rows; empty ones give nothing.
 
-    Columns that are Arrow arrays already are passed on as they are, whatever their type.
+    Columns that are Arrow arrays already are passed on as they are, whatever their type. ``keep`` names the remembered
+    table that further tasks of the same kind go on with.
     """
     arrow = arrow_schema(schema)
     names = [field.name for field in arrow]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keep)
         try:
             for batch in batches:
                 for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -55,7 +58,7 @@ def map_batches(df: DataFrame, make, schema: str | StructType) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays(arrays, names=names)
         finally:
-            forget()
+            forget(keep)
 
     return df.mapInArrow(run, schema)
 
@@ -106,7 +109,7 @@ class WordHashes(dict):
 
 
 _WORDS = WordHashes()
-REMEMBERED.append(_WORDS)
+REMEMBERED["words"] = _WORDS
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

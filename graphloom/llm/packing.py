@@ -24,7 +24,7 @@ from graphloom.session import materialize
 #: Pieces that are packed together, on average. A group leaves about one sequence partly filled.
 GROUP_PIECES = 4096
 #: White-space chunks whose ids one worker remembers; longer ones are encoded each time.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 REMEMBERED_LENGTH = 64
 #: Written for the end of a word.
 MARK = "\x01"
@@ -74,7 +74,7 @@ class ChunkTokenizer:
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.spaces = regex.compile(r"\s+")
         self.chunks = _Chunks(self)
-        common.REMEMBERED.append(self.chunks)
+        common.REMEMBERED["chunks"] = self.chunks
 
     def consistent(self) -> bool:
         """Every entry, merged alone below its own rank, ends in its two halves."""
@@ -173,7 +173,7 @@ def token_pieces(
                     columns["ids"].append(part)
         return columns
 
-    return map_batches(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), run, schema)
+    return map_batches(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), run, schema, keep="chunks")
 
 
 def pack_group(
