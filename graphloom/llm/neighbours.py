@@ -18,32 +18,44 @@ from pyspark.sql import functions as F
 
 from graphloom.session import materialize, shuffle_width
 
-#: Vectors of a block. A block is one row: 4 bytes for each component, and the ids.
+#: Vectors of a block at most. A block is one row: 8 bytes for each component, and the ids.
 BLOCK_ROWS = 8192
+#: Largest components between which norms and products of rows are far from the ends of double precision.
+TRUSTED = (1e-100, 1e100)
+#: Candidate blocks are not made smaller than this for the sake of more tasks.
+LEAST_ROWS = 1024
 #: Queries that meet a candidate block at once inside a task.
 TILE_ROWS = 256
 
 
-def quantise(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 values, scales, norms of the rounded vectors and norms of what rounding took, per row."""
-    scale = np.abs(rows).max(axis=1) / 127.0
-    whole = np.rint(rows / scale[:, None]).astype(np.int8)
+def quantise(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """int8 values, scales, norms of the rounded vectors and of what rounding took, and whether bounds can be trusted.
+
+    Rows whose largest component lies outside ``TRUSTED`` might overflow or vanish in norms and products; they are
+    written as zeros here and must be compared exactly.
+    """
+    largest = np.abs(rows).max(axis=1)
+    trusted = (largest >= TRUSTED[0]) & (largest <= TRUSTED[1])
+    scale = np.where(trusted, largest, 1.0) / 127.0
+    calm = np.where(trusted[:, None], rows, 0.0)
+    whole = np.rint(calm / scale[:, None]).astype(np.int8)
     rounded = whole * scale[:, None]
-    return whole, scale, np.linalg.norm(rounded, axis=1), np.linalg.norm(rows - rounded, axis=1)
+    return whole, scale, np.linalg.norm(rounded, axis=1), np.linalg.norm(calm - rounded, axis=1), trusted
 
 
 def exact(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Inner products of matching rows, added from the first component to the last in double precision."""
     total = np.zeros(len(queries))
-    for d in range(queries.shape[1]):
-        total += queries[:, d] * candidates[:, d]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(queries.shape[1]):
+            total += queries[:, d] * candidates[:, d]
     return total
 
 
 def block_best(q: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(query row, scores, candidate rows)`` of the k best candidates of each query in one pair of blocks."""
-    q_whole, q_scale, q_round, q_lost = quantise(q)
-    c_whole, c_scale, c_round, c_lost = quantise(c)
+    q_whole, q_scale, q_round, q_lost, q_trusted = quantise(q)
+    c_whole, c_scale, c_round, c_lost, c_trusted = quantise(c)
     # integers below 2**24 are exact in float32 up to 1,040 components; beyond, double precision takes them
     kind = np.float32 if q.shape[1] <= 1040 else np.float64
     right = c_whole.T.astype(kind)
@@ -53,6 +65,8 @@ def block_best(q: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> Itera
         # <q, c> = rounded part + <q's loss, c rounded> + <q, c's loss>
         loss = q_lost[some, None] * c_round + (q_round[some] + q_lost[some])[:, None] * c_lost
         loss += 1e-9 * (q_round[some, None] * c_round + 1e-300)
+        loss[~q_trusted[some]] = np.inf
+        loss[:, ~c_trusted] = np.inf
         if near.shape[1] > k:
             bar = np.partition(near - loss, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
         else:
@@ -62,7 +76,7 @@ def block_best(q: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> Itera
         for i in range(near.shape[0]):
             left = columns[starts[i] : starts[i + 1]]
             scores = exact(np.broadcast_to(q[at + i], (len(left), q.shape[1])), c[left])
-            best = np.lexsort((c_ids[left], -scores))[:k]
+            best = np.lexsort((c_ids[left], -scores, ~np.isnan(scores)))[:k]
             yield at + i, scores[best], left[best]
 
 
@@ -92,8 +106,11 @@ def nearest(
     that repeat an id and vector count once; an id with several vectors counts with each of them. With fewer than k
     candidates all are given; an empty table gives none.
 
-    A block pair holds ``block_rows`` rows of either side, whatever the table's size. A query block is sent to each
-    candidate block, so the traffic is the candidates' bytes times the number of query blocks.
+    A block pair holds at most ``block_rows`` rows of either side, whatever the table's size; blocks are smaller while
+    the table would give fewer pairs than shuffle partitions. Pairs are dealt by both numbers, so the products of one
+    query block are spread over tasks; the traffic is either side's bytes times the number of the other's blocks.
+    Vectors travel whole with their block: a near copy of a query can't be told from its fellows by int8 bounds, and
+    its group's pairs are to be settled where they are found, not sent on. A score that overflows to no number ranks first.
     """
     own = vectors.select(
         vectors[vec_id].cast("long").alias("id"), vectors[embedding].cast("array<double>").alias("vector"),
@@ -110,10 +127,16 @@ def nearest(
     heads = members.where("place = 1").select("id", "vector", "same")
     asking = valid.where("asks").select("same").distinct().join(heads, "same").select("id", "vector")
     total, asked = heads.count(), valid.where("asks").count()
-    c_blocks = _blocks(heads.select("id", "vector"), max(1, -(-total // block_rows)), "c")
-    q_blocks = _blocks(asking, max(1, -(-asked // block_rows)), "q")
-    wanted = F.explode(F.sequence(F.lit(0), F.lit(max(1, -(-asked // block_rows)) - 1))).alias("q")
-    pairs = c_blocks.select("*", wanted).join(q_blocks.hint("merge"), "q")
+    width = shuffle_width(vectors.sparkSession)
+    n_q = max(1, -(-asked // block_rows))
+    n_c = max(1, -(-total // block_rows), min(-(-width // n_q), -(-total // LEAST_ROWS)))
+    c_blocks = _blocks(heads.select("id", "vector"), n_c, "c")
+    q_blocks = _blocks(asking, n_q, "q")
+    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    # A stated number of partitions keeps the few large rows from being put together by their bytes.
+    c_side = c_blocks.select("*", each(n_q, "q")).repartition(width, "q", "c")
+    q_side = q_blocks.select("*", each(n_c, "c")).repartition(width, "q", "c")
+    pairs = c_side.join(q_side.hint("merge"), ["q", "c"])
     out = pa.schema([("query", pa.int64()), ("head", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,19 +157,19 @@ def nearest(
     partial = pairs.mapInArrow(run, "query long, head long, score double")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list[tuple[float, int]]] = {}  # of the queries dealt to this task, k + 1 entries each
+        heaps: dict[int, list[tuple[bool, float, int]]] = {}  # of the queries dealt to this task, k + 1 entries each
         for batch in batches:
             for query, head, score in zip(*(batch.column(c).to_pylist() for c in ("query", "head", "score"))):
                 heap = heaps.setdefault(query, [])
-                entry = (score, -head)
+                entry = (score != score, 0.0 if score != score else score, -head)
                 if len(heap) <= k:
                     heapq.heappush(heap, entry)
                 elif entry > heap[0]:
                     heapq.heapreplace(heap, entry)
-        rows = [(query, -head, score) for query, heap in heaps.items() for score, head in heap]
+        rows = [(query, -head, float("nan") if lost else score) for query, heap in heaps.items() for lost, score, head in heap]
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, out)], schema=out)
 
-    merged = partial.repartition(shuffle_width(vectors.sparkSession), "query").mapInArrow(merge, "query long, head long, score double")
+    merged = partial.repartition(width, "query").mapInArrow(merge, "query long, head long, score double")
     same_of = heads.select(F.col("id").alias("head"), "same")
     asks = valid.where("asks").select(F.col("id").alias("query_id"), F.col("same").alias("q_same"))
     per_vector = merged.join(same_of, "head").join(members.select("same", F.col("id").alias("vec_id")), "same").select("query", "vec_id", "score")

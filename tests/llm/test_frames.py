@@ -143,6 +143,17 @@ def test_neighbours(spark):
     assert neighbours.nearest(frame.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_huge_and_denormal_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e200, 1.0]), (2, [5e-324, 0.0]), (3, [-1e200, 1.0]), (20, [1e200, -1e200]), (40, [5e-324, 5e-324])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=20, block_rows=2)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    for q, vector in rows:
+        if q % 20 == 0:
+            full = sorted((-(0.0 + vector[0] * v[0] + vector[1] * v[1]), i) for i, v in rows if i != q)
+            assert [got[q, n + 1] for n in range(5)] == [(i, -score) for score, i in full]
+
+
 def test_bpe_round_trip(docs, empty):
     encoded = bpe.encode_documents(docs, "byte_bpe_multi_50k.tiktoken")
     assert {(r.doc_id, r.decoded_sha256) for r in encoded.collect()} == {(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ROWS}

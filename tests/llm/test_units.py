@@ -159,3 +159,14 @@ def test_block_best_equals_full_product():
         full = neighbours.exact(np.broadcast_to(c[i], c.shape), c)
         best = np.lexsort((ids, -full))[:7]
         assert (rows == best).all() and (scores == full[best]).all()
+
+
+def test_block_best_beyond_trusted_bounds():
+    rng = np.random.default_rng(11)
+    c, ids = rng.normal(size=(300, 8)), rng.permutation(300)
+    c[3], c[7, 2], c[11], c[13] = 5e-324, 1e200, c[11] * 1e-310, c[13] * 1e250
+    c[17], c[19] = np.where(np.arange(8) % 2, 1e200, -1e200), 1e200  # this product overflows to no number
+    for i, scores, rows in neighbours.block_best(c[:30], c, ids, 9):
+        full = neighbours.exact(np.broadcast_to(c[i], c.shape), c)
+        best = np.lexsort((ids, -full, ~np.isnan(full)))[:9]
+        assert (rows == best).all() and np.array_equal(scores, full[best], equal_nan=True)
