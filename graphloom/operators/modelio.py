@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import unroll
+from graphloom.session import materialize
 
 TEXT_SLOT = "{text}"
 
@@ -24,6 +28,11 @@ RESOLUTION_TEMPLATE = "List of names:\n{text}\nReturn the lists of names to merg
 SWEEP_TEMPERATURES = (0.6, 0.7)
 SWEEP_REPEAT_PENALTIES = (0.5, 1.0, 1.5, 2.0, 4.0, 8.0, 16.0)
 
+#: What a text budget counts: up to 16 characters of a word, with the blanks before them.
+UNIT = r"\s*\S{1,16}"
+#: Parts of one key that are numbered in one place, on average.
+PARTS_TOGETHER = 256
+
 # Patterns of replies and contact records.
 TRIPLE_PATTERN = r"^\s*\(([^,]+),([^,]+),(.+)\)\s*$"
 EMAIL_PATTERN = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
@@ -104,6 +113,68 @@ def parse_resolution(replies: DataFrame, groups: DataFrame) -> tuple[DataFrame,
     return kept.select(F.concat_ws("|", F.col("group_id").cast("string"), "_lead").alias("group_id"), "entity_id").distinct(), rejects
 
 
+def units(text: Column) -> Column:
+    """The units of a text that a budget counts."""
+    return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
+
+
+def budgeted_parts(rows: DataFrame, key: str, place: str, text: str, budget: int) -> DataFrame:
+    """``(key, part, text)``: the texts of each key, by ``place``, in parts of fewer than ``budget`` units.
+
+    A text of over a quarter of the budget is cut between units. A text goes to the part in which it starts, and parts
+    start three quarters of the budget apart, so none overflows and no text waits for another. The running sum of a key
+    with very many texts is taken in blocks by a hash of ``place``, never by one task. Null and blank texts give nothing,
+    nor does an empty table; texts of one place come in the order of their characters.
+    """
+    limit = budget // 4
+    if limit < 1:
+        raise ValueError("a budget has at least 4 units")
+    cut = rows.select(key, F.col(place).cast("string").alias("_place"), units(F.col(text)).alias("_units")).where(F.size("_units") > 0)
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.size("_units") - 1, F.lit(limit)),
+        lambda i: F.struct(F.array_join(F.slice("_units", i + 1, limit), "").alias("text"), F.least(F.lit(limit), F.size("_units") - i).alias("_n")),
+    )
+    cut = cut.select(key, "_place", F.posexplode(pieces).alias("_piece", "_row")).select(key, "_place", "_piece", "_row.*")
+    blocks = cut.groupBy(key).agg(F.ceil(F.sum("_n") / (PARTS_TOGETHER * budget)).alias("_blocks"))
+    digest = F.md5(F.concat_ws("|", "_place", F.col("_piece").cast("string")))
+    placed = cut.join(blocks, key).withColumn("_block", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.col("_blocks"))
+    before = Window.partitionBy(key, "_block").orderBy("_place", "_piece", "text").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    part = F.shiftleft("_block", 32) + F.floor(start / (budget - limit)).cast("long")
+    listed = placed.withColumn("part", part).groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_place", "_piece", "text"))).alias("_rows"))
+    return listed.select(key, "part", F.array_join(F.transform("_rows", lambda r: r["text"]), "\n").alias("text"))
+
+
+def reduce_texts(
+    rows: DataFrame, key: str, place: str, text: str, budget: int, answer: Callable[[DataFrame], DataFrame],
+    template: str = SUMMARY_TEMPLATE, system: str = SUMMARY_SYSTEM,
+) -> DataFrame:
+    """``(key, summary, rounds)``: one reply for each key, however long its texts are.
+
+    ``answer`` takes the requests of a round and gives ``(request_id, response)``; it is called once a round and its
+    replies are written. A key with one part has its summary; the replies to several parts, cut to a quarter of the budget,
+    are the texts of the next round. Each round leaves about a third of the parts, so the rounds grow with the logarithm
+    of the longest key. Replies that are missing or blank are left out; a key without any reply has a null summary.
+    """
+    limit = budget // 4
+    parts, done = materialize(budgeted_parts(rows, key, place, text, budget)), []
+    while True:
+        asked = parts.select(F.struct(key, "part").alias("source"), "text")
+        requests, links = prompt_requests(asked, "source", "text", template, system)
+        told = materialize(attach_responses(links, answer(requests)).select("source.*", "response"))
+        counts = told.groupBy(key).agg(
+            F.count(F.lit(1)).alias("_n"), F.count_if(F.col("response").rlike(r"\S")).alias("_told"), F.max("response").alias("summary")
+        )
+        over = (F.col("_n") == 1) | (F.col("_told") == 0)
+        done.append(counts.where(over).select(key, F.when(F.col("_told") > 0, F.col("summary")).alias("summary"), F.lit(len(done)).alias("rounds")))
+        rest = told.join(counts.where(~over).select(key), key, "left_semi")
+        parts = materialize(budgeted_parts(
+            rest.withColumn("response", F.array_join(F.slice(units(F.col("response")), 1, limit), "")), key, "part", "response", budget
+        ))
+        if parts.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+
+
 def contact_fields(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, name, emails, phones)`` of texts that hold at least one e-mail address, phone number or name line."""
     found = df.select(

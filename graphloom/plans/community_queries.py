@@ -236,6 +236,66 @@ def summary_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.select("request_id", "prompt", "n_sources")
 
 
+PART_BUDGET, TREE_BUDGET = 1024, 256
+PARTS_SQL = f"""
+WITH rows AS (
+  SELECT community, section || '|' || line || '|' || c AS place, regexp_extract_all(line, '{modelio.UNIT}') AS u
+  FROM (SELECT community, section, line, unnest(range(copies)) AS c FROM ({LINES_SQL}))),
+pieces AS (
+  SELECT community, place, i // {PART_BUDGET // 4} AS piece, array_to_string(u[i + 1 : i + {PART_BUDGET // 4}], '') AS text,
+         least({PART_BUDGET // 4}, len(u) - i) AS n
+  FROM (SELECT community, place, u, unnest(range(0, len(u), {PART_BUDGET // 4})) AS i FROM rows)),
+placed AS (
+  SELECT p.*, ('0x' || substr(md5(place || '|' || piece), 1, 8))::BIGINT % blocks AS block
+  FROM pieces p JOIN (SELECT community, ceil(sum(n) / {modelio.PARTS_TOGETHER * PART_BUDGET})::BIGINT AS blocks FROM pieces GROUP BY community)
+  USING (community)),
+started AS (
+  SELECT *, sum(n) OVER (PARTITION BY community, block ORDER BY place, piece, text ROWS UNBOUNDED PRECEDING) - n AS start FROM placed)
+SELECT community, block * 4294967296 + floor(start / {PART_BUDGET - PART_BUDGET // 4})::BIGINT AS part,
+       string_agg(text, chr(10) ORDER BY place, piece, text) AS text
+FROM started GROUP BY ALL
+"""
+
+
+def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each report line as often as its community has it."""
+    lines = community.community_lines(_nodes_of(spark, sf_dir), _rels_of(spark, sf_dir))
+    rows = lines.select("community", "section", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return rows.withColumn("place", F.concat_ws("|", F.col("section").cast("string"), "line", F.col("copy").cast("string")))
+
+
+@query("summary_parts", PARTS_SQL)
+def summary_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report text of every community in parts that a model can take."""
+    return modelio.budgeted_parts(_line_rows(spark, sf_dir), "community", "place", "line", PART_BUDGET)
+
+
+def _counting_reply(requests: DataFrame) -> DataFrame:
+    """A rule in a model's place: the reply tells how many units of the report its prompt stands for, itself or by earlier replies."""
+    before, after = modelio.SUMMARY_TEMPLATE.split(modelio.TEXT_SLOT, 1)
+    body = F.substring(F.col("prompt"), F.lit(len(before) + 1), F.length("prompt") - len(before) - len(after))
+
+    def stands_for(line):
+        told = F.regexp_extract(line, r"^units (\d+)$", 1)
+        return F.when(told != "", told.cast("long")).otherwise(F.size(modelio.units(line)).cast("long"))
+
+    total = F.aggregate(F.split(body, "\n"), F.lit(0).cast("long"), lambda n, line: n + stands_for(line))
+    return requests.select("request_id", F.concat(F.lit("units "), total.cast("string")).alias("response"))
+
+
+@query(
+    "summary_texts",
+    f"""
+    SELECT community, 'units ' || sum(copies * len(regexp_extract_all(line, '{modelio.UNIT}'))) AS summary
+    FROM ({LINES_SQL}) GROUP BY community
+    """,
+)
+def summary_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One summary of every community through rounds of requests; what the replies count shows that no part is lost."""
+    rows = _line_rows(spark, sf_dir)
+    return modelio.reduce_texts(rows, "community", "place", "line", TREE_BUDGET, _counting_reply).select("community", "summary")
+
+
 @query(
     "upsert_summary",
     f"""
