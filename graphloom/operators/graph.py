@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import SENTENCE_END, ngrams, unroll, words
+from graphloom.session import materialize
 
 MENTIONS = "MENTIONS"
+#: Words by which longer names are found.
+ANCHOR_WORDS = 3
 
 
 # --- extraction -------------------------------------------------------------------------------------------------
@@ -31,6 +34,39 @@ def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str,
     return found.join(names, "phrase").select(key, "sentence", "position", "id")
 
 
+def entity_mentions_long(docs: DataFrame, gazetteer: DataFrame, key: str, text: str) -> DataFrame:
+    """The matches of :func:`entity_mentions` for names of any number of words, without unrolling every run.
+
+    Names of more than ``ANCHOR_WORDS`` words are met by their first ones. Only where these stand in a sentence are the
+    runs made that such names can have, at most one for each length of a name with that beginning. Sentences are
+    tokenised once and written. Rows that repeat a key are matched apart; null texts and names without words give nothing.
+    """
+    sentences = materialize(sentences_of(docs, key, text).withColumn("_row", F.monotonically_increasing_id()))
+    named = gazetteer.select(words(F.col("id")).alias("_words"), "id").withColumn("_n", F.size("_words"))
+    starts = F.flatten(
+        F.array(*[
+            F.transform(ngrams(F.col("tokens"), n), lambda phrase, at: F.struct(phrase.alias("phrase"), at.alias("position")))
+            for n in range(1, ANCHOR_WORDS + 1)
+        ])
+    )
+    phrase = F.array_join("_words", " ").alias("phrase")
+    short = named.where(F.col("_n").between(1, ANCHOR_WORDS)).select(phrase, "id")
+    found = sentences.select(key, "sentence", F.inline(starts)).join(short, "phrase").select(key, "sentence", "position", "id")
+
+    long_names = named.where(F.col("_n") > ANCHOR_WORDS)
+    anchors = long_names.groupBy(F.array_join(F.slice("_words", 1, ANCHOR_WORDS), " ").alias("phrase")).agg(F.collect_set("_n").alias("_lengths"))
+    runs = sentences.select("_row", F.posexplode(ngrams(F.col("tokens"), ANCHOR_WORDS)).alias("position", "phrase"))
+    hits = runs.join(anchors, "phrase").groupBy("_row").agg(F.collect_list(F.struct("position", "_lengths")).alias("_hits"))
+
+    def run(at: Column, n: Column) -> Column:
+        text_of = F.when(at + n <= F.size("tokens"), F.array_join(F.slice("tokens", at + 1, n), " "))
+        return F.struct(at.alias("position"), text_of.alias("phrase"))
+
+    made = F.flatten(F.transform("_hits", lambda h: F.transform(h["_lengths"], lambda n: run(h["position"], n))))
+    tried = sentences.join(hits, "_row").select(key, "sentence", F.inline(made)).where("phrase IS NOT NULL")
+    return found.unionByName(tried.join(long_names.select(phrase, "id"), "phrase").select(key, "sentence", "position", "id"))
+
+
 def sentences_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     parts = unroll(docs, [key], F.split(F.col(text), SENTENCE_END), "_part", "sentence")
     return parts.select(key, "sentence", words(F.col("_part")).alias("tokens"))

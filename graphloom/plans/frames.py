@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import all_ngrams, strip_markup, unroll, words
+from graphloom.functions.text import SENTENCE_END, all_ngrams, ngrams, strip_markup, unroll, words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -249,6 +249,22 @@ FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchma
 """
 
 
+def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole sentences of passages, however long, and their runs of one and of five words."""
+    parts = unroll(table(spark, sf_dir, "benchmark"), [], F.split("text", SENTENCE_END), "part")
+    tokens = parts.select(words(F.col("part")).alias("tokens")).where(F.size("tokens") > 0)
+    names = F.concat(F.array(F.array_join("tokens", " ")), F.col("tokens"), ngrams(F.col("tokens"), 5))
+    return unroll(tokens, [], names, "id").distinct()
+
+
+LONG_NAMES = r"""
+SELECT DISTINCT unnest(list_concat([array_to_string(w, ' ')], w,
+       list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS id
+FROM (SELECT regexp_extract_all(lower(part), '[\p{L}\p{N}_]+') AS w
+      FROM (SELECT unnest(regexp_split_to_array(text, '[.!?\n]+')) AS part FROM benchmark)) WHERE len(w) > 0
+"""
+
+
 # --- documents and benchmark passages as one page set ----------------------------------------------------------------
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
-from graphloom.operators import components, descent, graph, modelio, resolve, vectors
+from graphloom.operators import components, descent, graph, modelio, quantiles, resolve, vectors
 from graphloom.plans import frames
 from graphloom.plans.frames import (
-    GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, PASSAGE_NAMES, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
+    GAZETTEER, NAMED_EDGES, NAMED_ENTITIES, NAMED_MENTIONS, LONG_NAMES, PASSAGE_NAMES, SUPPLY_EDGES, SUPPLY_NODES, THREAD_EDGES, table,
 )
 from graphloom.session import materialize, spread
 
@@ -85,6 +85,49 @@ def entity_mentions_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _name_mentions(spark, sf_dir)
 
 
+# Every run whose first words begin a name, and the name itself.
+LONG_MENTIONS_SQL = rf"""
+WITH sentences AS (
+  SELECT doc_id, sentence, regexp_extract_all(lower(part), '[\p{{L}}\p{{N}}_]+') AS w FROM (
+    SELECT doc_id, unnest(range(len(p)))::INT AS sentence, unnest(p) AS part
+    FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?\n]+') AS p FROM documents))),
+names AS (
+  SELECT id, len(w) AS n, array_to_string(w[1:4], ' ') AS head
+  FROM (SELECT id, string_split(id, ' ') AS w FROM ({LONG_NAMES}))),
+heads AS (
+  SELECT doc_id, sentence, position, w, array_to_string(w[position + 1:position + k], ' ') AS head
+  FROM (SELECT *, unnest(range(len(w) - k + 1))::INT AS position FROM sentences, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k))
+SELECT doc_id, sentence, position, id FROM heads JOIN names USING (head)
+WHERE array_to_string(w[position + 1:position + n], ' ') = id
+"""
+
+
+@query("entity_mentions_long", LONG_MENTIONS_SQL)
+def entity_mentions_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of any number of words, whole sentences among them."""
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return graph.entity_mentions_long(documents, frames.long_names(spark, sf_dir), "doc_id", "text")
+
+
+PERCENTILE_POINTS = (0.01, 0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+@query(
+    "price_percentiles",
+    f"""
+    SELECT l_returnflag, l_linestatus, count(*) AS n, {', '.join(
+        f'round(quantile_cont(l_extendedprice::DOUBLE, {q}), 6) AS p{int(q * 100)}' for q in PERCENTILE_POINTS)},
+        max(l_extendedprice::DOUBLE) AS max
+    FROM lineitem GROUP BY ALL
+    """,
+)
+def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of a column with almost as many values as rows."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    found = quantiles.percentiles(rows, ["l_returnflag", "l_linestatus"], "l_extendedprice", PERCENTILE_POINTS)
+    return found.select(*[F.round(c, 6).alias(c) if c.startswith("p") else c for c in found.columns])
+
+
 @query("cooccurrence_edges_names", COOCCUR_SQL.replace(MENTIONS_SQL, NAME_MENTIONS_SQL))
 def cooccurrence_edges_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cooccurrence_edges(_name_mentions(spark, sf_dir), "doc_id")
