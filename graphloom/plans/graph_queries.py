@@ -528,6 +528,42 @@ def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _groups(spark, sf_dir)
 
 
+# The chain: text vectors of all names, their nearest neighbours, components, and groups inside the components.
+ENTITY_KNN_SQL = rf"""
+WITH counts AS (SELECT id, term, count(*) AS tf
+                FROM (SELECT id, unnest(regexp_extract_all(lower(id), '[\p{{L}}\p{{N}}_]+')) AS term FROM ({NAMED_ENTITIES})) GROUP BY ALL),
+idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM ({NAMED_ENTITIES}))) / (1.0 + count(*))) + 1 AS idf FROM counts GROUP BY term),
+raw AS (SELECT id, term, tf * idf AS w FROM counts JOIN idf USING (term)),
+scores AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS score FROM raw),
+buckets AS (SELECT id, ('0x' || substr(md5(term), 1, 4))::INT % 256 AS dim, sum(score) AS v FROM scores GROUP BY ALL),
+unit AS (SELECT id, dim, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS v FROM buckets),
+pairs AS (SELECT a.id, b.id AS other, round(sum(a.v * b.v), 9) AS score FROM unit a JOIN unit b USING (dim) WHERE a.id <> b.id GROUP BY ALL)
+SELECT id AS src, other AS dst FROM pairs WHERE score >= 0.95
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 10
+"""
+FOUND_BLOCKS_SQL = f"SELECT id, component AS block FROM ({closure_sql(ENTITY_KNN_SQL, f'SELECT id FROM ({NAMED_ENTITIES})')})"
+FOUND_PAIRS_SQL = PAIRS_SQL.replace(NAMED_ENTITIES, FOUND_BLOCKS_SQL)
+FOUND_LINKS_SQL = f"""
+SELECT n.id AS src, m.id AS dst FROM ({FOUND_PAIRS_SQL}) p
+JOIN (SELECT id, lower(id) AS low FROM ({NAMED_ENTITIES})) n ON n.low = p.a
+JOIN (SELECT id, lower(id) AS low FROM ({NAMED_ENTITIES})) m ON m.low = p.b
+"""
+
+
+def _found_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name with the component of its text vector's neighbours."""
+    names = frames.named_entities(spark, sf_dir).select("id", F.lit(None).cast("string").alias("description"))
+    embedded = materialize(vectors.entity_text_vectors(names, 256))
+    similar = materialize(vectors.knn(embedded, "id", "embedding", k=10, cutoff=0.95))
+    return materialize(vectors.similar_components(embedded, similar, "id"))
+
+
+@query("similar_names_groups", f"SELECT component AS group_id, id AS entity_id FROM ({closure_sql(FOUND_LINKS_SQL)})")
+def similar_names_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate groups inside computed components, from the names themselves."""
+    return resolve.duplicate_groups(_found_blocks(spark, sf_dir), "component")
+
+
 @query("entity_resolution", MERGES_SQL)
 def entity_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.entity_resolution(_groups(spark, sf_dir))
