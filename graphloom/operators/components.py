@@ -62,6 +62,34 @@ def connected_components(
     )
 
 
+def component_changes(stored: DataFrame, links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(id, component)`` of the nodes that new links add or move, to be written over the stored ``(id, component)``.
+
+    Links are contracted to links between stored components, so the rounds work on a graph of at most the new links,
+    whatever the size of the stored one; of that only components that lose their name are read out. Stored names are
+    smallest members, and so are the new ones. Links with a null end say nothing; a loop adds its node. No links, no changes.
+    """
+    known = links.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+    ends = known.select(F.col("src").alias("id")).union(known.select("dst")).distinct()
+    named = stored.select("id", "component").join(ends, "id", "left_semi").distinct()
+    named = materialize(ends.join(named, "id", "left").select("id", F.coalesce("component", "id").alias("label"), F.col("component").isNull().alias("fresh")))
+    heads = named.select(F.col("id").alias("src"), F.col("label").alias("a"))
+    tails = named.select(F.col("id").alias("dst"), F.col("label").alias("b"))
+    contracted = known.join(heads, "src").join(tails, "dst").select("a", "b")
+    names = named.select(F.col("label").alias("id"))
+    merged = materialize(connected_components(materialize(contracted), names, "a", "b").select(F.col("id").alias("label"), F.col("component").alias("name")))
+    fresh = named.where("fresh").join(merged, "label").select("id", F.col("name").alias("component"))
+    lost = merged.where("label <> name")
+    moved = stored.select("id", F.col("component").alias("label")).join(lost, "label").select("id", F.col("name").alias("component"))
+    return moved.unionByName(fresh)
+
+
+def updated_components(stored: DataFrame, links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """The stored ``(id, component)`` with the changes that new links make."""
+    changes = materialize(component_changes(stored, links, src, dst))
+    return stored.select("id", "component").join(changes, "id", "left_anti").unionByName(changes)
+
+
 def component_sizes(components: DataFrame) -> DataFrame:
     return components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
 

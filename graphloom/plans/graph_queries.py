@@ -318,6 +318,15 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.connected_components(frames.thread_edges(spark, sf_dir))
 
 
+@query("components_updated", THREAD_COMPONENTS)
+def components_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations' own components are stored; then the links between turns of equal text come."""
+    links = frames.thread_edges(spark, sf_dir)
+    follows = F.col("dst").startswith("c-")
+    stored = materialize(components.connected_components(links.where(follows)))
+    return components.updated_components(stored, links.where(~follows))
+
+
 @query(
     "component_stats",
     f"""
