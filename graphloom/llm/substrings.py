@@ -146,9 +146,11 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
         if held and sum(b.num_rows for b in held):
             yield from _runs(pa.Table.from_batches(held), width)
 
-    runs = strings.mapInArrow(sort, "sid binary, runs array<long>")
-    runs = runs.union(_wide_runs(_strings(packed.where("hot").join(wide, "bucket", "left_semi")), width))
-    refs = packed.select("id", "key", "start", "sid").join(runs.hint("merge"), "sid")
+    runs = strings.mapInArrow(sort, _RUNS_DDL)
+    runs = materialize(runs.union(_wide_runs(_strings(packed.where("hot").join(wide, "bucket", "left_semi")), width)))
+    # a string held once names its place itself; only those that several places hold go back to them by a join
+    places = packed.select("id", "key", "start", "sid").join(runs.where("key IS NULL").select("sid", "runs").hint("merge"), "sid")
+    refs = runs.where("key IS NOT NULL").select("id", "key", "start", "runs").unionByName(places.drop("sid"))
     flat = refs.select("id", "key", "start", F.explode(F.sequence(F.lit(0), F.size("runs") - 3, F.lit(3))).alias("i"), "runs")
     at = lambda k: F.element_at("runs", F.col("i") + k)
     spans = flat.where(at(3) < F.col("id")).select("id", "key", F.struct((F.col("start") + at(1)).alias("from"), (F.col("start") + at(2) + F.lit(width)).alias("to")).alias("span"))
@@ -156,7 +158,8 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
 
 
 _PACKED = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("bucket", pa.int64()), ("sid", pa.binary()), ("packed", pa.binary()), ("hot", pa.bool_())])
-_RUNS = pa.schema([("sid", pa.binary()), ("runs", pa.list_(pa.int64()))])
+_RUNS_DDL = "sid binary, id long, key long, start int, runs array<long>"
+_RUNS = pa.schema([("sid", pa.binary()), ("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("runs", pa.list_(pa.int64()))])
 
 
 def _packed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
@@ -180,20 +183,29 @@ def _packed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
 def _runs(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     """For each string, runs of windows with one smallest document: first and last window, document."""
     firsts = first_documents(table.column("packed").to_pylist(), table.column("lo").to_numpy(), width)
-    sids, found = [], []
-    for sid, hi, first in zip(table.column("sid").to_pylist(), table.column("hi").to_pylist(), firsts):
+    rows, found = [], []
+    for row, (hi, first) in enumerate(zip(table.column("hi").to_pylist(), firsts)):
         starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
         stops = np.append(starts[1:], len(first)) - 1
         wanted = first[starts] < hi  # else no document of this string comes later
         if wanted.any():
-            sids.append(sid)
+            rows.append(row)
             found.append(np.stack([starts[wanted], stops[wanted], first[starts][wanted]], axis=1).ravel())
-    yield pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(found, pa.list_(pa.int64()))], schema=_RUNS)
+    named = table.select(["sid", "lo", "key", "start"]).take(pa.array(rows, pa.int64()))
+    columns = [column.combine_chunks() for column in named.columns]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _RUNS.field("runs").type)], schema=_RUNS)
 
 
 def _strings(packed: DataFrame) -> DataFrame:
-    """Each distinct string of a bucket with the smallest and the largest document that has it."""
-    return packed.groupBy("bucket", "sid").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("packed").alias("packed"))
+    """Each distinct string of a bucket with the smallest and the largest document that has it.
+
+    ``key`` and ``start`` are those of its only place, or null where it has several.
+    """
+    once = F.count(F.lit(1)) == 1
+    return packed.groupBy("bucket", "sid").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("packed").alias("packed"),
+        F.when(once, F.min("key")).alias("key"), F.when(once, F.min("start")).alias("start"),
+    )
 
 
 def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
@@ -203,7 +215,7 @@ def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
         a, b, counts = window_hashes(batch.column("packed").to_pylist(), width)
         owner = np.repeat(np.arange(batch.num_rows), counts)
         return {
-            "sid": batch.column("sid").take(pa.array(owner)), "lo": batch.column("lo").to_numpy()[owner], "hi": batch.column("hi").to_numpy()[owner],
+            **{name: batch.column(name).take(pa.array(owner)) for name in ("sid", "key", "start")}, "lo": batch.column("lo").to_numpy()[owner], "hi": batch.column("hi").to_numpy()[owner],
             "place": np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts), "a": a.view(np.int64), "b": b.view(np.int64),
         }
 
@@ -212,12 +224,12 @@ def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 yield batch.slice(at, 1000)
 
-    some = strings.select("sid", "lo", "hi", "packed")
+    some = strings.select("sid", "key", "start", "lo", "hi", "packed")
     some = some.mapInArrow(pieces, some.schema)
-    windows = materialize(map_batches(some, cut, "sid binary, lo long, hi long, place long, a long, b long"))
+    windows = materialize(map_batches(some, cut, "sid binary, key long, start int, lo long, hi long, place long, a long, b long"))
     firsts = windows.groupBy("a", "b").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").drop("last")
-    found = windows.select("sid", "hi", "place", "a", "b").join(firsts.hint("merge"), ["a", "b"]).where("first < hi")
-    found = found.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("place", "first"))).alias("found"))
+    found = windows.drop("lo").join(firsts.hint("merge"), ["a", "b"]).where("first < hi")
+    found = found.groupBy("sid", F.col("hi").alias("id"), "key", "start").agg(F.sort_array(F.collect_list(F.struct("place", "first"))).alias("found"))
 
     def joined(batch: pa.RecordBatch) -> dict:
         runs = []
@@ -226,9 +238,9 @@ def _wide_runs(strings: DataFrame, width: int) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], (places[1:] != places[:-1] + 1) | (first[1:] != first[:-1])]))
             stops = np.append(starts[1:], len(own)) - 1
             runs.append(np.stack([places[starts], places[stops], first[starts]], axis=1).ravel())
-        return {"sid": batch.column("sid"), "runs": runs}
+        return {**{name: batch.column(name) for name in ("sid", "id", "key", "start")}, "runs": runs}
 
-    return map_batches(found, joined, "sid binary, runs array<long>")
+    return map_batches(found, joined, _RUNS_DDL)
 
 
 def kept_words(docs: DataFrame, keep: list[str], make, schema: str | StructType, width: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
