@@ -102,20 +102,22 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
 
     def cut(batch: pa.RecordBatch) -> dict:
         columns: dict = {name: [] for name in ("id", "key", "start", "windows", "minimiser")}
+        more: list = []
         for number, key, value in zip(batch.column("id").to_pylist(), batch.column("key").to_pylist(), texts(batch, "text")):
-            starts, counts, minimisers = super_kmers(hash_words(value.encode().split()), width)
+            starts, counts, minimisers, others = _by_minimiser(*super_kmers(hash_words(value.encode().split()), width))
             if len(starts):
+                more += others
                 columns["id"].append(np.full(len(starts), number))
                 columns["key"].append(np.full(len(starts), key))
                 for name, values in (("start", starts), ("windows", counts), ("minimiser", minimisers)):
                     columns[name].append(values)
-        return {name: np.concatenate(values) if values else np.empty(0, np.int64) for name, values in columns.items()}
+        return {"more": more, **{name: np.concatenate(values) if values else np.empty(0, np.int64) for name, values in columns.items()}}
 
-    cuts = materialize(map_batches(rows, cut, "id long, key long, start int, windows int, minimiser long"))
+    cuts = materialize(map_batches(rows, cut, "id long, key long, start int, windows int, more array<int>, minimiser long"))
     counted = cuts.groupBy("minimiser").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("k"))
     shared = counted.where("lo < hi").select("minimiser", (F.col("k") > HOT).alias("hot"))
     parts = cuts.join(shared.hint("merge"), "minimiser")
-    parts = parts.groupBy("id", "key").agg(F.collect_list(F.struct("start", "windows", "minimiser", "hot")).alias("cuts"))
+    parts = parts.groupBy("id", "key").agg(F.collect_list(F.struct("start", "windows", "more", "minimiser", "hot")).alias("cuts"))
     keyed = rows.join(parts.select("id", "key"), ["id", "key"], "left_semi")
     joined = keyed.join(parts.hint("merge"), ["id", "key"])
 
@@ -124,7 +126,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
             for at in range(0, batch.num_rows, 200):
                 yield _packed(batch.slice(at, 200), width)
 
-    packed = materialize(joined.mapInArrow(pack, "id long, key long, start int, bucket long, sid binary, packed binary, hot boolean"))
+    packed = materialize(joined.mapInArrow(pack, "id long, key long, start int, more array<int>, bucket long, sid binary, packed binary, hot boolean"))
     distinct = packed.where("hot").select("bucket", "sid").distinct()
     # at most one bucket for WIDE strings, so few enough to be sent everywhere
     wide = F.broadcast(materialize(distinct.groupBy("bucket").count().where(F.col("count") > WIDE).select("bucket")))
@@ -149,33 +151,62 @@ def repeated_spans(docs: DataFrame, width: int = 50, doc_id: str = "doc_id", tex
     runs = strings.mapInArrow(sort, _RUNS_DDL)
     runs = materialize(runs.union(_wide_runs(_strings(packed.where("hot").join(wide, "bucket", "left_semi")), width)))
     # a string held once names its place itself; only those that several places hold go back to them by a join
-    places = packed.select("id", "key", "start", "sid").join(runs.where("key IS NULL").select("sid", "runs").hint("merge"), "sid")
-    refs = runs.where("key IS NOT NULL").select("id", "key", "start", "runs").unionByName(places.drop("sid"))
-    flat = refs.select("id", "key", "start", F.explode(F.sequence(F.lit(0), F.size("runs") - 3, F.lit(3))).alias("i"), "runs")
-    at = lambda k: F.element_at("runs", F.col("i") + k)
-    spans = flat.where(at(3) < F.col("id")).select("id", "key", F.struct((F.col("start") + at(1)).alias("from"), (F.col("start") + at(2) + F.lit(width)).alias("to")).alias("span"))
-    return spans.groupBy("id", "key").agg(F.flatten(F.transform(F.sort_array(F.collect_list("span")), lambda s: F.array(s["from"], s["to"]))).alias("spans"))
-
-
-_PACKED = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("bucket", pa.int64()), ("sid", pa.binary()), ("packed", pa.binary()), ("hot", pa.bool_())])
+    places = packed.select("id", "key", "start", "more", "sid").join(runs.where("key IS NULL").select("sid", "runs").hint("merge"), "sid")
+    refs = runs.where("key IS NOT NULL").select("id", "key", F.array("start").alias("starts"), "runs")
+    refs = refs.unionByName(places.select("id", "key", F.concat(F.array("start"), F.coalesce("more", F.array().cast("array<int>"))).alias("starts"), "runs"))
+    at = lambda i, k: F.element_at("runs", i + k)
+    earlier = F.filter(F.sequence(F.lit(0), F.size("runs") - 3, F.lit(3)), lambda i: at(i, 3) < F.col("id"))
+    span = lambda s, i: F.struct((s + at(i, 1)).alias("from"), (s + at(i, 2) + F.lit(width)).alias("to"))
+    spans = refs.select("id", "key", F.flatten(F.transform("starts", lambda s: F.transform(earlier, lambda i: span(s, i)))).alias("spans")).where(F.size("spans") > 0)
+    listed = F.sort_array(F.flatten(F.collect_list("spans")))
+    return spans.groupBy("id", "key").agg(F.flatten(F.transform(listed, lambda s: F.array(s["from"], s["to"]))).alias("spans"))
+
+
+def _by_minimiser(starts: np.ndarray, counts: np.ndarray, minimisers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """One document's super-k-mers, one entry a minimiser.
+
+    A text that repeats itself has the same minimiser again and again: the first place is the entry's, the others follow
+    as starts and numbers of windows in turn, or None where there are none.
+    """
+    order = np.argsort(minimisers, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], minimisers[order][1:] != minimisers[order][:-1]])) if len(order) else order
+    if len(edges) == len(starts):
+        return starts, counts, minimisers, [None] * len(starts)
+    groups = np.split(np.stack([starts, counts], axis=1).astype(np.int32)[order], edges[1:])
+    first = order[edges]
+    return starts[first], counts[first], minimisers[first], [g[1:].ravel() if len(g) > 1 else None for g in groups]
+
+
+_PACKED = pa.schema([
+    ("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("more", pa.list_(pa.int32())), ("bucket", pa.int64()), ("sid", pa.binary()),
+    ("packed", pa.binary()), ("hot", pa.bool_()),
+])
 _RUNS_DDL = "sid binary, id long, key long, start int, runs array<long>"
 _RUNS = pa.schema([("sid", pa.binary()), ("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("runs", pa.list_(pa.int64()))])
 
 
 def _packed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
-    """The packed strings of some documents."""
+    """The packed strings of some documents, each once a document with all places where it starts."""
     out: list[tuple] = []
     for number, value, key, cuts in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "key", "cuts"))):
         words = value.encode().split()
+        held: dict[bytes, tuple[int, bool, list[int]]] = {}
         for part in cuts:
-            start, count = part["start"], part["windows"]
-            pieces = [(start, count, part["minimiser"])]
-            if part["hot"]:
-                again = super_kmers(hash_words(words[start : start + count + width - 1]), width, seed=5)
-                pieces = [(start + s, n, part["minimiser"] ^ m) for s, n, m in zip(*(x.tolist() for x in again))]
-            for s, n, bucket in pieces:
-                string = b" ".join(words[s : s + n + width - 1])
-                out.append((number, key, s, bucket, hashlib.blake2b(string, digest_size=16).digest(), string, part["hot"]))
+            more = part["more"] or []
+            wholes: dict[bytes, list[int]] = {}
+            for start, count in [(part["start"], part["windows"]), *zip(more[0::2], more[1::2])]:
+                wholes.setdefault(b" ".join(words[start : start + count + width - 1]), []).append(start)
+            for whole, starts in wholes.items():
+                pieces = [(0, whole, part["minimiser"])]
+                if part["hot"]:
+                    inner = whole.split(b" ")
+                    again = super_kmers(hash_words(inner), width, seed=5)
+                    pieces = [(s, b" ".join(inner[s : s + n + width - 1]), part["minimiser"] ^ m) for s, n, m in zip(*(x.tolist() for x in again))]
+                for offset, string, bucket in pieces:
+                    held.setdefault(string, (bucket, part["hot"], []))[2].extend(s + offset for s in starts)
+        for string, (bucket, hot, starts) in held.items():
+            sid = hashlib.blake2b(string, digest_size=16).digest()
+            out.append((number, key, starts[0], starts[1:] or None, bucket, sid, string, hot))
     columns = zip(*out) if out else [[]] * len(_PACKED)
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _PACKED)], schema=_PACKED)
 
@@ -201,7 +232,7 @@ def _strings(packed: DataFrame) -> DataFrame:
 
     ``key`` and ``start`` are those of its only place, or null where it has several.
     """
-    once = F.count(F.lit(1)) == 1
+    once = (F.count(F.lit(1)) == 1) & (F.count("more") == 0)
     return packed.groupBy("bucket", "sid").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("packed").alias("packed"),
         F.when(once, F.min("key")).alias("key"), F.when(once, F.min("start")).alias("start"),

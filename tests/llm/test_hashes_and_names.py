@@ -1,6 +1,7 @@
 """Run hashes and minimisers against plain code, columns with the operators' own names and types, repeated rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,31 @@ def test_packing_spreads_rows_without_an_id(spark, monkeypatch):
     groups = packed.groupBy((F.col("sequence_id") / (1 << 32)).cast("long")).count().collect()
     assert len(groups) >= 15 and max(r["count"] for r in groups) < 120
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 64").count() == 0
+
+
+def test_a_text_that_repeats_itself_names_each_string_once(spark):
+    """Every minimiser and every packed string has one row a document, and the kept words equal plain code."""
+    words = substrings.hash_words(b"a b c d e".split() * 60)
+    starts, counts, minimisers = substrings.super_kmers(words, 50)
+    first, _, own, more = substrings._by_minimiser(starts, counts, minimisers)
+    assert len(own) == len(set(minimisers.tolist())) < len(starts)
+    places = [*first.tolist(), *(int(x) for m in more if m is not None for x in m[0::2])]
+    assert sorted(places) == starts.tolist()
+    whole = {"id": [1], "text": [" ".join(["a b c d e"] * 60)], "key": [7]}
+    cuts = [{"start": int(s), "windows": int(c), "more": None if m is None else m.tolist(), "minimiser": int(k), "hot": True} for s, c, k, m in zip(first, counts, own, more)]
+    packed = substrings._packed(pa.RecordBatch.from_pydict({**whole, "cuts": [cuts]}), 50).to_pylist()
+    assert len({r["sid"] for r in packed}) == len(packed)
+    assert sum(1 + len(r["more"] or []) for r in packed) > 10 * len(packed)
+
+    rows = [(5, " ".join(["a b c d e"] * 60)), (3, "x " + " ".join(["a b c d e"] * 30) + " y"), (4, " ".join(["p q r"] * 40)), (9, "z " + " ".join(["p q r"] * 17 + ["s"] * 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, removed = {}, {}
+    for number, value in sorted(rows):
+        split = value.split()
+        for at in range(len(split) - 49):
+            seen.setdefault(tuple(split[at : at + 50]), number)
+    for number, value in rows:
+        split = value.split()
+        gone = {at + k for at in range(len(split) - 49) if seen[tuple(split[at : at + 50])] < number for k in range(50)}
+        removed[number] = len(gone)
+    assert {r.doc_id: r.n_removed for r in substrings.digests(docs).collect()} == removed and removed[5] == 300 and removed[9] > 0
