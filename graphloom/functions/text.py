@@ -53,6 +53,24 @@ def unroll(df: DataFrame, keep: list[str], items: Column, name: str, position: s
     return rows.where(F.col(name).isNotNull())
 
 
+def counted(df: DataFrame, keep: list[str], items: Column, name: str, count: str) -> DataFrame:
+    """One row per distinct item of each row's list and how often it occurs there. No row leaves its task.
+
+    Equal items lie side by side in the sorted list, so memory is bounded by one list, not by the rows of a task.
+    """
+    lists = df.select(*keep, F.sort_array(items).alias("_sorted"))
+    places = F.when(F.size("_sorted") > 0, F.sequence(F.lit(1), F.size("_sorted")))
+    last = F.filter(places, lambda i: ~F.get("_sorted", i).eqNullSafe(F.get("_sorted", i - 1)))
+    lists = lists.withColumn("_ends", last)
+    runs = F.transform(
+        "_ends",
+        lambda e, k: F.struct(
+            F.get("_sorted", e - 1).alias(name), (e - F.coalesce(F.get("_ends", k - 1), F.lit(0))).cast("long").alias(count)
+        ),
+    )
+    return unroll(lists, keep, runs, "_run").select(*keep, f"_run.{name}", f"_run.{count}")
+
+
 def strip_markup(html: Column) -> Column:
     """Page text: tags replaced by spaces, white space collapsed."""
     return F.trim(F.regexp_replace(F.regexp_replace(html, TAG_PATTERN, " "), SPACE_PATTERN, " "))

@@ -304,10 +304,13 @@ def noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # One- to three-word phrases, with every document that holds them; the queries above take two words and one document.
-def _all_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+def _all_phrases(documents: DataFrame) -> DataFrame:
     tokens = documents.select("doc_id", "lang", text.words(F.col("text")).alias("tokens"))
-    return text.unroll(tokens, ["doc_id", "lang"], text.all_ngrams(F.col("tokens"), 3), "sequence")
+    return text.unroll(tokens, ["doc_id", "lang"], F.array_distinct(text.all_ngrams(F.col("tokens"), 3)), "sequence")
+
+
+def _phrase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
 
 
 def _tagged(phrases: DataFrame) -> DataFrame:
@@ -329,7 +332,7 @@ TAGS_SQL = f"list_transform(string_split(sequence, ' '), lambda x: {tag_case('x'
 )
 def pos_filters_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = [test(F.col("tags")).alias(name) for name, test in pos.REMOVAL_FLAGS.items()]
-    phrases = _tagged(_all_phrases(spark, sf_dir).select("sequence").distinct())
+    phrases = _tagged(_all_phrases(_phrase_documents(spark, sf_dir)).select("sequence").distinct())
     return phrases.select("sequence", *flags, pos.ends_with_noun(F.col("tags")).alias("ends_noun"))
 
 
@@ -343,8 +346,13 @@ def pos_filters_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def final_cd_check_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    phrases = _tagged(_all_phrases(spark, sf_dir).distinct())
-    return _with_url(phrases).select("doc_id", "sequence", _final_cd().alias("final_cd")).distinct()
+    def judged(phrases: DataFrame) -> DataFrame:
+        return _with_url(_tagged(phrases)).select("doc_id", "sequence", _final_cd().alias("final_cd"))
+
+    # A document's phrases are made distinct in its own row; only rows that share an id have to meet.
+    single, shared = pages.apart(_phrase_documents(spark, sf_dir), "doc_id")
+    found = judged(_all_phrases(single))
+    return found if shared is None else found.unionByName(judged(_all_phrases(shared).distinct()).distinct())
 
 
 @query(
@@ -354,7 +362,7 @@ def final_cd_check_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f" WHERE starts_with(tags[-1], 'NN')" + "".join(f" AND NOT ({e})" for e in SQL_FLAGS.values()),
 )
 def noun_phrases_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    phrases = _tagged(_all_phrases(spark, sf_dir).select("sequence").distinct())
+    phrases = _tagged(_all_phrases(_phrase_documents(spark, sf_dir)).select("sequence").distinct())
     return phrases.where(pos.is_noun_phrase(F.col("tags"))).select("sequence", F.array_join("tags", " ").alias("tags"))
 
 
