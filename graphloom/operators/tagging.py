@@ -6,12 +6,14 @@ Everything up to the n-gram list stays inside the document's own row: no shuffle
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import unroll, words
+from graphloom.functions.text import all_ngrams, counted, unroll, words
 from graphloom.functions.wordlists import CLOSED_CLASS_TAGS, SUFFIX_TAGS
+from graphloom.operators.pages import apart
 
 # Tags whose words leave before n-grams are built, and the tags the n-gram rules look at.
 DROPPED_TAGS = ("VB", "SP", "RB", "Co")
@@ -83,6 +85,27 @@ def tags_of(tokens: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, r
     return F.transform(tokens, lambda w: lexicon_tag(w, lexicon, rules))
 
 
+def _noun_gram_lists(
+    df: DataFrame, key: str, max_n: int, number_factor: int | None, dropped_tags: tuple[str, ...]
+) -> tuple[DataFrame, list[Column]]:
+    """Rows with a document's kept words, and for each length the expression of its list of n-grams."""
+    kept = F.filter("tagged", lambda t: ~t["tag"].isin(*dropped_tags))
+    numbers = F.size(F.filter("tagged", lambda t: t["tag"] == NUMBER_TAG))
+    base = df.select(key, kept.alias("_kept"), numbers.alias("_numbers"))
+    base = base.withColumn("_words", F.transform("_kept", lambda t: t["word"]))
+
+    def grams(n: int) -> Column:
+        ends = F.when(F.size("_kept") >= n, F.sequence(F.lit(n), F.size("_kept")))
+        ends = F.filter(ends, lambda e: F.get(F.col("_kept"), e - 1)["tag"].endswith(NOUN_TAG))
+        made = F.transform(ends, lambda e: F.array_join(F.slice(F.col("_words"), e - (n - 1), n), " "))
+        made = F.coalesce(made, F.array().cast("array<string>"))
+        if number_factor is None:
+            return made
+        return F.when(F.lit(n) <= F.col("_numbers") * number_factor, made).otherwise(F.array().cast("array<string>"))
+
+    return base, [grams(n) for n in range(1, max_n + 1)]
+
+
 def noun_ngrams(
     df: DataFrame,
     key: str,
@@ -95,29 +118,25 @@ def noun_ngrams(
     Words with a dropped tag leave first, so n-grams bridge them. Kept are n-grams whose last tag ends with NN and,
     unless ``number_factor`` is None, whose length is at most that factor times the document's count of numbers.
     """
-    kept = F.filter("tagged", lambda t: ~t["tag"].isin(*dropped_tags))
-    numbers = F.size(F.filter("tagged", lambda t: t["tag"] == NUMBER_TAG))
-    base = df.select(key, kept.alias("_kept"), numbers.alias("_numbers"))
+    base, lists = _noun_gram_lists(df, key, max_n, number_factor, dropped_tags)
 
-    def grams(n: int) -> Column:
-        ends = F.when(F.size("_kept") >= n, F.sequence(F.lit(n), F.size("_kept")))
-        ends = F.filter(ends, lambda e: F.get(F.col("_kept"), e - 1)["tag"].endswith(NOUN_TAG))
-        made = F.transform(
-            ends,
-            lambda e: F.struct(
-                F.array_join(F.slice(F.col("_words"), e - (n - 1), n), " ").alias("term"), F.lit(n).alias("n")
-            ),
-        )
-        made = F.coalesce(made, F.array().cast("array<struct<term:string,n:int>>"))
-        if number_factor is None:
-            return made
-        return F.when(F.lit(n) <= F.col("_numbers") * number_factor, made).otherwise(
-            F.array().cast("array<struct<term:string,n:int>>")
-        )
+    def sized(grams: Column, n: int) -> Column:
+        return F.transform(grams, lambda g: F.struct(g.alias("term"), F.lit(n).alias("n")))
 
-    base = base.withColumn("_words", F.transform("_kept", lambda t: t["word"]))
-    grams_column = F.concat(*[grams(n) for n in range(1, max_n + 1)])
-    return unroll(base, [key], grams_column, "_gram").select(key, "_gram.term", "_gram.n")
+    grams = F.concat(*[sized(made, n) for n, made in enumerate(lists, 1)])
+    return unroll(base, [key], grams, "_gram").select(key, "_gram.term", "_gram.n")
+
+
+def noun_ngram_counts(
+    df: DataFrame,
+    key: str,
+    max_n: int = 3,
+    number_factor: int | None = 2,
+    dropped_tags: tuple[str, ...] = DROPPED_TAGS,
+) -> DataFrame:
+    """The n-grams of :func:`noun_ngrams` as ``(key, term, tf)``, counted in each row; rows of one key are not added up."""
+    base, lists = _noun_gram_lists(df, key, max_n, number_factor, dropped_tags)
+    return counted(base, [key], F.concat(*lists), "term", "tf")
 
 
 def document_terms(
@@ -133,6 +152,47 @@ def document_terms(
     return noun_ngrams(tag_tokens(tokens, key, "tokens", lexicon), key, max_n, number_factor)
 
 
+def document_term_counts(
+    df: DataFrame,
+    key: str,
+    text: str,
+    max_n: int = 3,
+    number_factor: int | None = 2,
+    lexicon: DataFrame | None = None,
+) -> DataFrame:
+    """Text to noun n-grams with their counts ``(key, term, tf)``; rows that share a key are added up."""
+
+    def made(part: DataFrame) -> DataFrame:
+        tokens = part.select(key, words(F.col(text)).alias("tokens"))
+        return noun_ngram_counts(tag_tokens(tokens, key, "tokens", lexicon), key, max_n, number_factor)
+
+    return counts_by_key(df, key, made)
+
+
+def counts_by_key(documents: DataFrame, key: str, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(key, term, tf)`` of documents from ``made``, which counts in each row; only rows that share a key meet."""
+    single, shared = apart(documents, key)
+    counts = made(single)
+    if shared is None:
+        return counts
+    return counts.unionByName(made(shared).groupBy(key, "term").agg(F.sum("tf").alias("tf")))
+
+
+def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Plain words with their counts ``(key, term, tf)``; rows that share a key are added up."""
+    return counts_by_key(df, key, lambda part: counted(part, [key], words(F.col(text)), "term", "tf"))
+
+
+def phrase_counts(df: DataFrame, key: str, text: str, max_n: int = 3) -> DataFrame:
+    """Runs of one to ``max_n`` words with their counts ``(key, term, tf)``; rows that share a key are added up."""
+
+    def made(part: DataFrame) -> DataFrame:
+        tokens = part.select(key, words(F.col(text)).alias("tokens"))
+        return counted(tokens, [key], all_ngrams(F.col("tokens"), max_n), "term", "tf")
+
+    return counts_by_key(df, key, made)
+
+
 def word_terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """Plain word occurrences ``(key, term)``."""
     return unroll(df, [key], words(F.col(text)), "term")

@@ -382,12 +382,12 @@ def noun_phrases_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Rows meet by document before they are unrolled, so the counts need no shuffle of n-grams.
-    documents = _documents(spark, sf_dir).repartition("doc_id")
-    tokens = documents.select("doc_id", text.words(F.col("text")).alias("tokens"))
-    grams = text.unroll(tokens, ["doc_id"], text.all_ngrams(F.col("tokens"), 3), "gram")
-    sized = grams.withColumn("n", F.size(F.split("gram", " ")))
-    return sized.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("occurrences"))
+    return _sized(tagging.phrase_counts(_documents(spark, sf_dir), "doc_id", "text"), "gram")
+
+
+def _sized(counts: DataFrame, name: str) -> DataFrame:
+    """Counts with the number of words, which hold no space."""
+    return counts.select("doc_id", F.size(F.split("term", " ")).alias("n"), F.col("term").alias(name), F.col("tf").alias("occurrences"))
 
 
 def noun_ngrams_sql(gate: str) -> str:
@@ -408,9 +408,7 @@ def noun_ngrams_sql(gate: str) -> str:
 
 
 def _noun_ngrams(spark: SparkSession, sf_dir: str, factor: int | None) -> DataFrame:
-    documents = _documents(spark, sf_dir).repartition("doc_id")
-    terms = tagging.document_terms(documents, "doc_id", "text", number_factor=factor)
-    return terms.groupBy("doc_id", "n", "term").agg(F.count(F.lit(1)).alias("occurrences"))
+    return _sized(tagging.document_term_counts(_documents(spark, sf_dir), "doc_id", "text", number_factor=factor), "term")
 
 
 @query("noun_ngrams", noun_ngrams_sql("gate"))
