@@ -40,7 +40,10 @@ def test_counts_of_a_list(spark, rows):
     assert rows(text.counted(lists, ["k"], F.col("l"), "x", "n")) == [(1, "a", 1), (1, "b", 2), (4, "c", 1)]
 
 
-@pytest.mark.parametrize("name", ["final_cd_check_pages", "ngrams", "noun_ngrams", "noun_ngrams_ungated"])
+SCORED = ["tfidf_scores", "tfidf_renormalised", "noun_tfidf"]
+
+
+@pytest.mark.parametrize("name", ["final_cd_check_pages", "ngrams", "noun_ngrams", "noun_ngrams_ungated", *SCORED])
 def test_phrases_of_rows_that_share_an_id(spark, repeated_ids, name):
     assert check.fingerprint(*check.spark_result(entry_points.queries()[name](spark, repeated_ids))) == _sql(repeated_ids, name)
 
@@ -49,3 +52,8 @@ def test_phrases_of_rows_that_share_an_id(spark, repeated_ids, name):
 def test_phrases_stay_in_their_row(spark, name):
     plan = _plan(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))
     assert "Aggregate" not in plan and "sequence" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_scored_counts_are_made_in_their_row(spark):
+    plan = _plan(entry_points.queries()["tfidf_scores"](spark, "/root/testdata/sf0.001"))
+    assert not [x for x in plan.splitlines() if "HashAggregate" in x and "doc_id" in x]
