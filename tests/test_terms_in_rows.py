@@ -40,7 +40,7 @@ def test_counts_of_a_list(spark, rows):
     assert rows(text.counted(lists, ["k"], F.col("l"), "x", "n")) == [(1, "a", 1), (1, "b", 2), (4, "c", 1)]
 
 
-SCORED = ["tfidf_scores", "tfidf_renormalised", "noun_tfidf"]
+SCORED = ["tfidf_scores", "tfidf_renormalised", "noun_tfidf", "phrase_feature_names", "phrase_retain_terms", "phrase_scores_tagged"]
 
 
 @pytest.mark.parametrize("name", ["final_cd_check_pages", "ngrams", "noun_ngrams", "noun_ngrams_ungated", *SCORED])
@@ -57,3 +57,13 @@ def test_phrases_stay_in_their_row(spark, name):
 def test_scored_counts_are_made_in_their_row(spark):
     plan = _plan(entry_points.queries()["tfidf_scores"](spark, "/root/testdata/sf0.001"))
     assert not [x for x in plan.splitlines() if "HashAggregate" in x and "doc_id" in x]
+
+
+def test_runs_that_can_be_terms(spark):
+    from graphloom.operators import tagging
+
+    docs = spark.createDataFrame([(1, "the red house of 3 quickly old houses was 12 run runs tree tree")], "d long, text string")
+    everything = {r.term for r in tagging.phrase_counts(docs, "d", "text").collect()}
+    kept = {r.term for r in tagging.noun_run_counts(docs, "d", "text").collect()}
+    terms = {r.term for r in tagging.document_terms(docs, "d", "text", number_factor=None).collect()}
+    assert everything & terms <= kept < everything
