@@ -18,7 +18,10 @@ from graphloom.operators.tagging import word_terms
 from graphloom.operators.tfidf import fit_transform
 from graphloom.session import materialize
 
-BLOCK_ROWS = 4_096
+#: Rows of a block: as many as leave ``BLOCKS`` of them, within these bounds. Larger blocks send each vector less often.
+BLOCK_ROWS, MAX_BLOCK_ROWS, BLOCKS = 4_096, 16_384, 12
+#: Scores that a task holds at once, and rows that a task hands on at once.
+SCORES_AT_ONCE, PLACED_ROWS = 2_097_152, 16_384
 MAX_CELLS = 1_024
 SCORE_DIGITS = 9
 
@@ -117,26 +120,42 @@ def _block_rows(assigned: DataFrame, block_rows: int) -> DataFrame:
     return as_probe.unionByName(as_home)
 
 
+def block_size(rows: int) -> int:
+    return min(MAX_BLOCK_ROWS, max(BLOCK_ROWS, -(-rows // BLOCKS)))
+
+
+def _best_of_block(block: pd.DataFrame, k: int, cutoff: float) -> pd.DataFrame:
+    """The best ``k`` homes of each probe, from the scores of a bounded number of pairs at a time."""
+    homes = block[block["home"]].sort_values("id")
+    probes = block[~block["home"]]
+    if not len(homes) or not len(probes):
+        return pd.DataFrame({"id": [], "other": [], "score": []})
+    home_ids, probe_ids = homes["id"].to_numpy(), probes["id"].to_numpy()
+    right, left = _matrix(homes["v"]).T, _matrix(probes["v"])
+    step = max(1, SCORES_AT_ONCE // len(homes))
+    own, other, score = [], [], []
+    for at in range(0, len(left), step):
+        scores = left[at : at + step] @ right
+        np.round(scores, SCORE_DIGITS, out=scores)
+        for i, row in enumerate(scores, at):
+            near = np.flatnonzero(row >= cutoff)
+            near = near[home_ids[near] != probe_ids[i]]
+            # Homes are in id order and the sort is stable: equal scores keep the smaller id first.
+            near = near[np.argsort(-row[near], kind="stable")[:k]]
+            own.append(np.full(len(near), i))
+            other.append(near)
+            score.append(row[near])
+    return pd.DataFrame(
+        {"id": probe_ids[np.concatenate(own)], "other": home_ids[np.concatenate(other)], "score": np.concatenate(score)}
+    )
+
+
 def _compare_blocks(assigned: DataFrame, k: int, cutoff: float, block_rows: int) -> DataFrame:
     """``(id, other, score)``: per probe row and block the best ``k`` others at or above the cut-off."""
     id_type = assigned.schema["id"].dataType.simpleString()
 
     def best(block: pd.DataFrame) -> pd.DataFrame:
-        homes = block[block["home"]].sort_values("id")
-        probes = block[~block["home"]]
-        out = {"id": [], "other": [], "score": []}
-        if len(homes) and len(probes):
-            home_ids = homes["id"].to_numpy()
-            probe_ids = probes["id"].to_numpy()
-            scores = np.round(_matrix(probes["v"]) @ _matrix(homes["v"]).T, SCORE_DIGITS)
-            for i, row in enumerate(scores):
-                near = np.flatnonzero((row >= cutoff) & (home_ids != probe_ids[i]))
-                # Homes are in id order and the sort is stable: equal scores keep the smaller id first.
-                near = near[np.argsort(-row[near], kind="stable")[:k]]
-                out["id"].extend([probe_ids[i]] * len(near))
-                out["other"].extend(home_ids[near])
-                out["score"].extend(row[near])
-        return pd.DataFrame(out)
+        return _best_of_block(block, k, cutoff)
 
     keyed = _block_rows(assigned, block_rows)
     return keyed.groupBy("cell", "probe_block", "home_block").applyInPandas(
@@ -162,10 +181,20 @@ def _pivot_cells(units: DataFrame, cells: int, cutoff: float) -> DataFrame:
     id_type = units.schema["id"].dataType.simpleString()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            squared = np.maximum(0.0, 2.0 - 2.0 * _matrix(batch["v"]) @ pivots.T)
+        return _reached_cells(batches, pivots, gaps, radius)
+
+    return units.mapInPandas(place, f"cell long, home boolean, id {id_type}, v array<double>")
+
+
+def _reached_cells(
+    batches: Iterator[pd.DataFrame], pivots: np.ndarray, gaps: np.ndarray, radius: float
+) -> Iterator[pd.DataFrame]:
+    """Rows once per cell they reach; a batch is taken in slices that yield at most ``PLACED_ROWS`` rows each."""
+    step = max(1, PLACED_ROWS // len(pivots)) if len(pivots) else 1
+    for batch in batches:
+        for at in range(0, len(batch), step):
+            part = batch.iloc[at : at + step]
+            squared = np.maximum(0.0, 2.0 - 2.0 * _matrix(part["v"]) @ pivots.T)
             home = squared.argmin(axis=1)
             excess = squared - squared[np.arange(len(home)), home][:, None]
             reach = excess <= 2.0 * radius * gaps[home] + 1e-9
@@ -174,17 +203,15 @@ def _pivot_cells(units: DataFrame, cells: int, cutoff: float) -> DataFrame:
                 {
                     "cell": cell.astype("int64"),
                     "home": cell == home[row],
-                    "id": batch["id"].to_numpy()[row],
-                    "v": batch["v"].to_numpy()[row],
+                    "id": part["id"].to_numpy()[row],
+                    "v": part["v"].to_numpy()[row],
                 }
             )
 
-    return units.mapInPandas(place, f"cell long, home boolean, id {id_type}, v array<double>")
-
 
 def knn(
     vectors: DataFrame, key: str = "id", embedding: str = "embedding", k: int = 10, cutoff: float = 0.95,
-    block_rows: int = BLOCK_ROWS, max_cells: int = MAX_CELLS,
+    block_rows: int | None = None, max_cells: int = MAX_CELLS,
 ) -> DataFrame:
     """Exact ``k`` nearest neighbours by cosine at or above the cut-off: ``(id, other, score, rank)``.
 
@@ -197,6 +224,7 @@ def knn(
     if distinct == 0:
         return _top_k(units.select("id", F.col("id").alias("other"), F.lit(0.0).alias("score")), 0)
     reps = groups.select("id", "v")
+    block_rows = block_rows or block_size(distinct)
     cells = max(1, min(max_cells, distinct // block_rows))
     assigned = materialize(_pivot_cells(reps, cells, cutoff))
     near = _top_k(_compare_blocks(assigned, k, cutoff, block_rows), k).drop("rank")
@@ -250,7 +278,7 @@ def _plane_cells(units: DataFrame, tables: int, bits: int, seed: int) -> DataFra
 
 def knn_lsh(
     vectors: DataFrame, key: str = "id", embedding: str = "embedding", k: int = 10, cutoff: float = 0.95,
-    recall: float = 0.99, bits: int = 12, seed: int = 7, block_rows: int = BLOCK_ROWS,
+    recall: float = 0.99, bits: int = 12, seed: int = 7, block_rows: int | None = None,
 ) -> DataFrame:
     """Approximate neighbours: only vectors that share a cell in one of the hash tables are compared.
 
@@ -260,9 +288,9 @@ def knn_lsh(
     """
     share = (1.0 - np.arccos(min(1.0, max(-1.0, cutoff))) / np.pi) ** bits
     tables = 1 if share >= 1.0 else max(1, int(np.ceil(np.log(1.0 - recall) / np.log(1.0 - share))))
-    units = unit_vectors(vectors, key, embedding)
+    units = materialize(unit_vectors(vectors, key, embedding))
     assigned = materialize(_plane_cells(units, tables, bits, seed))
-    pairs = _compare_blocks(assigned, k, cutoff, block_rows).distinct()
+    pairs = _compare_blocks(assigned, k, cutoff, block_rows or block_size(units.count())).distinct()
     return _top_k(pairs, k)
 
 

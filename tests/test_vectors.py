@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from graphloom.operators import vectors
@@ -92,3 +93,23 @@ def test_entity_text_vectors(spark):
 def test_similar_components(spark, rows):
     df = frame(spark, [[1, 0], [0.99, 0.05], [0, 1]])
     assert rows(vectors.similar_components(df, vectors.knn(df))) == [(0, 0), (1, 0), (2, 2)]
+
+
+def test_a_task_holds_a_bounded_number_of_scores_and_rows():
+    import tracemalloc
+
+    units = np.random.default_rng(5).standard_normal((4096, 8))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    rows = pd.DataFrame({"id": np.arange(4096), "v": list(units)})
+    block = pd.concat([rows.assign(home=True), rows.assign(home=False)])
+    tracemalloc.start()
+    near = vectors._best_of_block(block, 3, 0.9)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    scores = np.round(units @ units.T, 9)
+    np.fill_diagonal(scores, -1)
+    assert len(near) == sum(min(3, n) for n in (scores >= 0.9).sum(axis=1))
+    pivots = units[:600]
+    gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * pivots @ pivots.T))
+    parts = list(vectors._reached_cells(iter([rows]), pivots, gaps, 2.0))
+    assert max(map(len, parts)) <= vectors.PLACED_ROWS and sum(p["home"].sum() for p in parts) == 4096
