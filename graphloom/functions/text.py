@@ -82,7 +82,10 @@ def ngrams(tokens: Column, n: int) -> Column:
     Pass a column of a frame, not an expression: the list is read once per run.
     """
     starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    if n == 1:
+        grams = F.transform(starts, lambda i: F.coalesce(F.get(tokens, i - 1), F.lit("")))
+    else:
+        grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + (k - 1)) for k in range(n)]))
     return F.coalesce(grams, F.array().cast("array<string>"))
 
 
