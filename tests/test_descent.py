@@ -36,3 +36,25 @@ def test_small_tables_copies_and_odd_rows(spark):
     assert descent.knn_descent(names, k=3, cutoff=0.2).where("rank = 1").count() > 0
     assert descent.knn_descent(frame.where("false"), k=3).count() == 0
     assert descent.knn_descent(frame.where("id = 5"), k=3).count() == 0
+
+
+def test_a_vector_is_sent_once_to_each_block(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    units = [(i, (x / np.linalg.norm(x)).tolist()) for i, x in enumerate(rng.standard_normal((1500, 12)))]
+    sent, held = [], descent._held
+    monkeypatch.setattr(descent, "_held", lambda *sides: sent.append(held(*sides)) or sent[-1])
+    descent.descend(spark.createDataFrame(units, "id long, v array<double>"), pool=20, leaf=64, tables=2, rounds=2)
+    assert len(sent) == 3
+    for rows in sent:
+        assert rows.count() == rows.select("to", "member").distinct().count() <= 1500 * spark.sparkContext.defaultParallelism
+
+
+def test_leaders_are_distinct_and_raise_the_bar():
+    rng = np.random.default_rng(3)
+    one, two = rng.integers(0, 9, 400).astype(np.int32), rng.integers(0, 9, 400).astype(np.int32)
+    score = ((one * 31 + two * 17) % 23 / 23).astype(np.float32)
+    bar = np.full(9, -2.0, np.float32)
+    found = sorted(zip(*(x.tolist() for x in descent._leaders(one, two, score, bar, 3))))
+    ranked = {i: sorted({(float(s), int(j)) for a, j, s in zip(one, two, score) if a == i}, reverse=True)[:3] for i in range(9)}
+    assert [s for i, _, s in found] and all(sorted((s for a, _, s in found if a == i), reverse=True) == [s for s, _ in ranked[i]] for i in range(9))
+    assert [float(x) for x in bar] == [ranked[i][2][0] for i in range(9)]
