@@ -19,7 +19,7 @@ from graphloom.operators.tfidf import fit_transform
 from graphloom.session import materialize
 
 #: Rows of a block: as many as leave ``BLOCKS`` of them, within these bounds. Larger blocks send each vector less often.
-BLOCK_ROWS, MAX_BLOCK_ROWS, BLOCKS = 4_096, 16_384, 12
+BLOCK_ROWS, MAX_BLOCK_ROWS, BLOCKS = 4_096, 65_536, 12
 #: Scores that a task holds at once, and rows that a task hands on at once.
 SCORES_AT_ONCE, PLACED_ROWS = 2_097_152, 16_384
 MAX_CELLS = 1_024

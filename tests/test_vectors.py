@@ -113,3 +113,9 @@ def test_a_task_holds_a_bounded_number_of_scores_and_rows():
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * pivots @ pivots.T))
     parts = list(vectors._reached_cells(iter([rows]), pivots, gaps, 2.0))
     assert max(map(len, parts)) <= vectors.PLACED_ROWS and sum(p["home"].sum() for p in parts) == 4096
+
+
+def test_blocks_of_large_tables_stay_few():
+    # 600,000 vectors meet in 12 by 12 pairs of blocks: each is sent 24 times, not 74.
+    assert -(-600_000 // vectors.block_size(600_000)) == vectors.BLOCKS
+    assert vectors.block_size(100) == vectors.BLOCK_ROWS and vectors.block_size(10**9) == vectors.MAX_BLOCK_ROWS
