@@ -6,16 +6,18 @@ component.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import unroll
-from graphloom.operators.components import connected_components
+from graphloom.operators.components import connected_components, updated_components
 from graphloom.session import materialize, shuffle_width
 
 MIN_ID_LENGTH = 4
 MAX_EDITS = 2
 SHORT_ID = 40
+#: Keys (64 bits each) that are sent whole to every task.
+BROADCAST_KEYS = 2_000_000
 
 
 def _without_up_to_two(text: Column) -> Column:
@@ -83,7 +85,7 @@ def _near(a: Column, b: Column) -> Column:
 
 def duplicate_pairs(entities: DataFrame, block: str, key: str = "id") -> DataFrame:
     """``(block, a, b, distance)`` with ``a < b``: lowercased ids over four characters, of one block, that are fewer
-    than three edits apart. Ids that differ only by case are one form here; :func:`duplicate_links` ties them.
+    than three edits apart. Ids that differ only by case are one form here; :func:`duplicate_groups` ties them.
     """
     ids = entities.where(F.length(key) > MIN_ID_LENGTH).select(
         F.col(block).alias("block"), F.col(key).alias("id"), F.lower(key).alias("low")
@@ -103,28 +105,76 @@ def duplicate_pairs(entities: DataFrame, block: str, key: str = "id") -> DataFra
     return pairs.distinct().withColumn("distance", F.levenshtein("a", "b"))
 
 
-def duplicate_links(entities: DataFrame, block: str, key: str = "id") -> DataFrame:
-    """``(src, dst)`` links whose closure gives the candidate groups."""
+def _leads(entities: DataFrame, block: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Ids over four characters ``(block, id, low)``, and the smallest id ``lead`` of each lowercased form of a block."""
     ids = entities.where(F.length(key) > MIN_ID_LENGTH).select(
         F.col(block).alias("block"), F.col(key).alias("id"), F.lower(key).alias("low")
     )
-    lead = ids.groupBy("block", "low").agg(F.min("id").alias("lead"))
-    same = ids.join(lead, ["block", "low"]).where(F.col("id") != F.col("lead")).select(
-        F.col("id").alias("src"), F.col("lead").alias("dst")
-    )
-    pairs = duplicate_pairs(entities, block, key)
-    leads_a = lead.select("block", F.col("low").alias("a"), F.col("lead").alias("src"))
-    leads_b = lead.select("block", F.col("low").alias("b"), F.col("lead").alias("dst"))
-    across = pairs.join(leads_a, ["block", "a"]).join(leads_b, ["block", "b"]).select("src", "dst")
-    return same.union(across)
+    return ids, ids.groupBy("block", "low").agg(F.min("id").alias("lead"))
+
+
+def _without_one(text: Column) -> Column:
+    """The text and every text left after deleting one of its characters, without repeats."""
+    cut = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
+    return F.array_distinct(F.concat(F.array(text), cut))
+
+
+def close_links(leads: DataFrame) -> DataFrame:
+    """``(src, dst)`` links between forms that one deletion at most on either side makes equal.
+
+    All forms that reach the same text this way are fewer than three edits apart, so each is tied to one of them only.
+    """
+    short = leads.where(F.length("low") <= SHORT_ID + MAX_EDITS)
+    texts = unroll(short, ["block", "lead"], _without_one(F.col("low")), "_text")
+    first = F.min("lead").over(Window.partitionBy("block", "_text"))
+    return texts.select(F.col("lead").alias("src"), first.alias("dst")).where("src <> dst").distinct()
+
+
+def apart_links(leads: DataFrame, first: DataFrame) -> DataFrame:
+    """``(src, dst)`` links between forms fewer than three edits apart that are not in one component of ``first`` yet.
+
+    Blocks of one component have none. Of two components one is not its block's largest: only the others' forms look for
+    partners, among all forms of their block.
+    """
+    named = leads.join(first.select(F.col("id").alias("lead"), "component"), "lead", "left")
+    named = materialize(named.select("block", "low", "lead", F.coalesce("component", "lead").alias("label")))
+    sizes = named.groupBy("block", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("block").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("labels"))
+    open_ = named.join(largest.where("labels > 1").select("block", "largest"), "block")
+    open_ = materialize(open_.repartition(shuffle_width(named.sparkSession), "block", "low"))
+    forms = open_.select("block", "low")
+    label = lambda low, name: open_.select("block", F.col("low").alias(low), F.col("label").alias(f"_{name}"), F.col("lead").alias(name))
+
+    def keyed(rows: DataFrame, low: str, name: str) -> DataFrame:
+        short = rows.where(F.length("low") <= SHORT_ID + MAX_EDITS)
+        texts = unroll(short, ["block", "low", "label", "lead"], _without_up_to_two(F.col("low")), "_text")
+        return texts.select("block", F.xxhash64("_text").alias("key"), F.col("low").alias(low), F.col("label").alias(f"_{name}"), F.col("lead").alias(name))
+
+    # Up to a bound the bare keys are sent to the others, of which few are left then. Size estimates do not see how many keys
+    # an id makes: a merge join keeps them from being broadcast.
+    asking = materialize(keyed(open_.where("label <> largest"), "a", "src"))
+    others = keyed(open_, "b", "dst")
+    if asking.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        others = others.join(F.broadcast(asking.select("key").distinct()), "key", "left_semi")
+    short = asking.hint("merge").join(others, ["block", "key"]).where((F.col("_src") != F.col("_dst")) & _near(F.col("a"), F.col("b")))
+    long_ = _long_pairs(forms).join(label("a", "src"), ["block", "a"]).join(label("b", "dst"), ["block", "b"])
+    long_ = long_.where((F.col("_src") != F.col("_dst")) & _near(F.col("a"), F.col("b")))
+    return short.select("src", "dst").union(long_.select("src", "dst")).distinct()
 
 
 def duplicate_groups(entities: DataFrame, block: str, key: str = "id") -> DataFrame:
     """``(group_id, entity_id)``: candidate groups of more than one entity, closed over shared members.
 
-    The group's id is its smallest member. One row per member: no group is gathered into a row.
+    The group's id is its smallest member. One row per member: no group is gathered into a row. Links are those of
+    :func:`duplicate_pairs` and of ids that differ only by case, but pairs inside a group are not all made: the cheapest
+    links come first, then only those between the components they give.
     """
-    found = connected_components(materialize(duplicate_links(entities, block, key)))
+    ids, leads = _leads(entities, block, key)
+    same = ids.join(leads, ["block", "low"]).where(F.col("id") != F.col("lead")).select(
+        F.col("id").alias("src"), F.col("lead").alias("dst")
+    )
+    first = materialize(connected_components(materialize(same.union(close_links(leads)))))
+    found = updated_components(first, materialize(apart_links(leads, first)))
     return found.select(F.col("component").alias("group_id"), F.col("id").alias("entity_id"))
 
 

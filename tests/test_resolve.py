@@ -1,4 +1,5 @@
 import random
+from collections import defaultdict
 
 from graphloom.operators import modelio, resolve
 
@@ -111,3 +112,33 @@ def test_requests_and_replies(spark):
     held = {r.request_id: r.prompt for r in parts.collect()}
     together = [held[r.request_id] for r in part_links.collect() if r.group_id == "g1"]
     assert any("Old One" in p and "old-one" in p for p in together) and any("Old Two" in p and "oldtwo" in p for p in together)
+
+
+def test_groups_are_the_closure_of_all_pairs_without_making_them(spark, monkeypatch):
+    rng = random.Random(5)
+    ids = {"".join(rng.choice("aab1 ") for _ in range(rng.randint(5, 9))) for _ in range(250)}
+    ids |= {f"No#{rng.randrange(3000):07d}" for _ in range(300)} | {"x" * n + y for n in (38, 41, 60) for y in ("", "ab", "cd", "Ab")}
+    frame = spark.createDataFrame([(x, "pq"[i % 2]) for i, x in enumerate(sorted(ids))] + [("abcdef", "p"), ("abcdef", "q")], "id string, block string")
+    leader = {}
+
+    def find(x):
+        while leader.setdefault(x, x) != x:
+            x = leader[x]
+        return x
+
+    by_low = defaultdict(list)
+    for row in frame.where("length(id) > 4").selectExpr("block", "id", "lower(id) AS low").collect():
+        by_low[row.block, row.low].append(row.id)
+    for names in by_low.values():
+        for x in names:
+            leader[max(find(names[0]), find(x))] = min(find(names[0]), find(x))
+    for p in resolve.duplicate_pairs(frame, "block").collect():
+        one, two = find(by_low[p.block, p.a][0]), find(by_low[p.block, p.b][0])
+        leader[max(one, two)] = min(one, two)
+    wanted = {(find(x), x) for x in list(leader)}
+    wanted = {(g, x) for g, x in wanted if sum(g == h for h, _ in wanted) > 1}
+    # Neither all pairs are made, nor do the outcomes differ when few or many keys are left to ask for.
+    monkeypatch.setattr(resolve, "duplicate_pairs", None)
+    for most in (0, 10**6):
+        monkeypatch.setattr(resolve, "BROADCAST_KEYS", most)
+        assert {tuple(r) for r in resolve.duplicate_groups(frame, "block").select("group_id", "entity_id").collect()} == wanted
