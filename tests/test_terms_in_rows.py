@@ -4,7 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from graphloom.functions import text
+from graphloom.operators import tfidf
 from graphloom.plans import check
+from graphloom.session import shuffle_width
 from pyspark.sql import functions as F
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -67,3 +69,10 @@ def test_runs_that_can_be_terms(spark):
     kept = {r.term for r in tagging.noun_run_counts(docs, "d", "text").collect()}
     terms = {r.term for r in tagging.document_terms(docs, "d", "text", number_factor=None).collect()}
     assert everything & terms <= kept < everything
+
+
+def test_postings_are_sorted_in_more_shares_than_the_session_has(spark):
+    counts = spark.createDataFrame([(d, f"t{t}", 1) for d in range(40) for t in range(20)], "doc_id long, term string, tf long")
+    scores = tfidf.score(counts, tfidf.fit_idf(counts, counts.select("doc_id").distinct(), 1.0), "doc_id")
+    assert scores.rdd.getNumPartitions() == tfidf.SHARES * shuffle_width(spark) > shuffle_width(spark)
+    assert scores.count() == 800
