@@ -6,7 +6,7 @@ bounded number of rows, and a task compares one block with another by a matrix p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -71,26 +71,36 @@ def entity_text_vectors(entities: DataFrame, dims: int = 64) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m"),
         F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"),
     )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
-        lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0.0)) / F.col("norm"),
+    dense = _once(
+        F.struct("m", "norm"),
+        lambda e: F.transform(
+            F.sequence(F.lit(0), F.lit(dims - 1)), lambda b: F.coalesce(F.try_element_at(e["m"], b), F.lit(0.0)) / e["norm"]
+        ),
     )
     return gathered.select("id", dense.alias("embedding"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value made once a row.
+
+    A column that a list's function names only once is made anew for every item of the list, as the optimizer puts its
+    expression there; a variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # --- neighbours -------------------------------------------------------------------------------------------------
 
 
 def unit_vectors(vectors: DataFrame, key: str, embedding: str) -> DataFrame:
     """``(id, v)`` scaled to length one; zero vectors have no direction and leave."""
     as_double = F.transform(embedding, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x * x))
-    return (
-        vectors.select(F.col(key).alias("id"), as_double.alias("_v"))
-        .withColumn("_norm", norm)
-        .where(F.col("_norm") > 0)
-        .select("id", F.transform("_v", lambda x: x / F.col("_norm")).alias("v"))
-    )
+
+    def scaled(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+        return _once(norm, lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)))
+
+    return vectors.select(F.col(key).alias("id"), _once(as_double, scaled).alias("v")).where("v IS NOT NULL")
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
