@@ -16,21 +16,22 @@ ANCHOR_WORDS = 3
 # --- extraction -------------------------------------------------------------------------------------------------
 
 
-def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str, max_words: int = 1) -> DataFrame:
+def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text: str, max_words: int = 1, name: str = "id") -> DataFrame:
     """Dictionary matches ``(key, sentence, position, id)`` of 1..max_words word runs within a sentence.
 
-    Names are reduced to their words like the text, so punctuation inside a name does not matter; every run of a
-    sentence is made in one pass. The gazetteer joins on the phrase. Spark sends it to every task only when its size allows that.
+    Names are reduced to their words like the text, so punctuation inside a name does not matter; ``name`` is the column
+    that holds them, if ids are something else. A sentence is unrolled to one row a word with the words after it, and only
+    there runs are put together. The gazetteer joins on the phrase. Spark sends it to every task only when its size allows that.
     """
-    sentences = sentences_of(docs, key, text)
-    runs = F.flatten(
-        F.array(*[
-            F.transform(ngrams(F.col("tokens"), n), lambda phrase, at: F.struct(phrase.alias("phrase"), at.alias("position")))
-            for n in range(1, max_words + 1)
-        ])
+    after = [f"_w{n}" for n in range(max_words)]
+    places = F.transform(
+        "tokens", lambda word, at: F.struct(at.alias("position"), word.alias("_w0"), *[F.get("tokens", at + n).alias(after[n]) for n in range(1, max_words)])
     )
-    found = sentences.select(key, "sentence", F.inline(runs))
-    names = gazetteer.select(F.array_join(words(F.col("id")), " ").alias("phrase"), "id").where("phrase != ''")
+    found = sentences_of(docs, key, text).select(key, "sentence", F.inline(places))
+    # A run that goes beyond the end of its sentence is null and meets no name.
+    runs = [F.concat(*[part for w in after[:n] for part in (F.lit(" "), F.col(w))][1:]) for n in range(1, max_words + 1)]
+    found = found.select(key, "sentence", "position", F.explode(F.array(*runs)).alias("phrase"))
+    names = gazetteer.select(F.array_join(words(F.col(name)), " ").alias("phrase"), "id").where("phrase != ''")
     return found.join(names, "phrase").select(key, "sentence", "position", "id")
 
 
@@ -88,6 +89,18 @@ def cooccurrence_edges(mentions: DataFrame, key: str) -> DataFrame:
     )
 
 
+def numbered(names: DataFrame) -> DataFrame:
+    """``(id, name)``: names numbered in their order, gaps between. Numbers are compared, hashed and moved at less cost."""
+    return materialize(names.select(F.col("id").alias("name")).orderBy("name").select(F.monotonically_increasing_id().alias("id"), "name"))
+
+
+def named_edges(edges: DataFrame, names: DataFrame) -> DataFrame:
+    """Edges between numbers as edges between the names of :func:`numbered`, in whose order ``src < dst`` still holds."""
+    heads, tails = (names.select(F.col("id").alias(end), F.col("name").alias(f"_{end}")) for end in ("src", "dst"))
+    named = edges.join(heads, "src").join(tails, "dst")
+    return named.select(*[F.col(f"_{c}" if c in ("src", "dst") else c).alias(c) for c in edges.columns])
+
+
 def extract_graph(docs: DataFrame, gazetteer: DataFrame, key: str, text: str, max_words: int = 1) -> dict[str, DataFrame]:
     """Nodes, edges and document mentions of a document table, ready for :func:`upsert_graph`."""
     mentions = entity_mentions(docs, gazetteer, key, text, max_words)

@@ -31,8 +31,9 @@ NAMED_MEMBERS = f"SELECT entity, level, level || '-' || community AS community F
 def _term_graph(spark: SparkSession, sf_dir: str, names: DataFrame, max_words: int) -> tuple[DataFrame, DataFrame]:
     """Terms that share sentences of all documents, and the terms."""
     documents = spread(frames.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    mentions = graph.entity_mentions(documents, names, "doc_id", "text", max_words=max_words)
-    return graph.cooccurrence_edges(mentions, "doc_id"), names
+    numbered = graph.numbered(names)
+    mentions = graph.entity_mentions(documents, numbered, "doc_id", "text", max_words=max_words, name="name")
+    return graph.named_edges(graph.cooccurrence_edges(mentions, "doc_id"), numbered), names
 
 
 @query("communities")
