@@ -130,11 +130,33 @@ def close_links(leads: DataFrame) -> DataFrame:
     return texts.select(F.col("lead").alias("src"), first.alias("dst")).where("src <> dst").distinct()
 
 
+def mask_links(named: DataFrame) -> DataFrame:
+    """``(src, dst)`` links between labels of ``(block, low, label)``: short forms of one length that differ in two places.
+
+    Forms that are equal but for the same two places are fewer than three edits apart, so each group of them is tied to one
+    label: no pairs are made and none is to be verified. Only places in which forms of the block and length differ count.
+    """
+    short = named.where(F.length("low") <= SHORT_ID + MAX_EDITS).withColumn("n", F.length("low"))
+    places = short.select("block", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"), "low")
+    letters = places.select("block", "n", "at", F.substr("low", F.col("at"), F.lit(1)).alias("letter"))
+    varied = letters.distinct().groupBy("block", "n", "at").agg(F.count(F.lit(1)).alias("letters")).where("letters > 1")
+    varied = varied.groupBy("block", "n").agg(F.sort_array(F.collect_list("at")).alias("at")).where(F.size("at") > 1)
+    chosen = F.flatten(F.transform("at", lambda i: F.transform(F.filter("at", lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    pairs = varied.select("block", "n", chosen.alias("pairs"))
+    cut = short.join(pairs, ["block", "n"]).select("block", "low", "label", F.explode("pairs").alias("at"))
+    rest = F.concat(F.expr("substr(low, 1, at.i - 1)"), F.expr("substr(low, at.i + 1, at.j - at.i - 1)"), F.expr("substr(low, at.j + 1)"))
+    rows = cut.select("block", "at", rest.alias("rest"), F.col("label").alias("src"))
+    first = F.min("src").over(Window.partitionBy("block", "at", "rest"))
+    return rows.withColumn("dst", first).where("src <> dst").select("src", "dst").distinct()
+
+
 def apart_links(leads: DataFrame, first: DataFrame) -> DataFrame:
     """``(src, dst)`` links between forms fewer than three edits apart that are not in one component of ``first`` yet.
 
-    Blocks of one component have none. Of two components one is not its block's largest: only the others' forms look for
-    partners, among all forms of their block.
+    Blocks of one component have none. Short forms of one length are either one deletion on each side apart, so that they
+    are in one component, or tied by :func:`mask_links`. For other partners, keys are made of short forms whose block has
+    forms one or two characters longer or shorter. Of two components one is not its block's largest: only the others'
+    forms look for partners, among all forms of their block.
     """
     named = leads.join(first.select(F.col("id").alias("lead"), "component"), "lead", "left")
     named = materialize(named.select("block", "low", "lead", F.coalesce("component", "lead").alias("label")))
@@ -145,8 +167,12 @@ def apart_links(leads: DataFrame, first: DataFrame) -> DataFrame:
     forms = open_.select("block", "low")
     label = lambda low, name: open_.select("block", F.col("low").alias(low), F.col("label").alias(f"_{name}"), F.col("lead").alias(name))
 
+    lengths = forms.where(F.length("low") <= SHORT_ID + MAX_EDITS).select("block", F.length("low").alias("n")).distinct()
+    others_of = lengths.select("block", F.col("n").alias("other"))
+    uneven = materialize(lengths.join(others_of, "block").where(F.abs(F.col("n") - F.col("other")).between(1, MAX_EDITS)).select("block", "n").distinct())
+
     def keyed(rows: DataFrame, low: str, name: str) -> DataFrame:
-        short = rows.where(F.length("low") <= SHORT_ID + MAX_EDITS)
+        short = rows.where(F.length("low") <= SHORT_ID + MAX_EDITS).withColumn("n", F.length("low")).join(uneven, ["block", "n"])
         texts = unroll(short, ["block", "low", "label", "lead"], _without_up_to_two(F.col("low")), "_text")
         return texts.select("block", F.xxhash64("_text").alias("key"), F.col("low").alias(low), F.col("label").alias(f"_{name}"), F.col("lead").alias(name))
 
@@ -156,10 +182,10 @@ def apart_links(leads: DataFrame, first: DataFrame) -> DataFrame:
     others = keyed(open_, "b", "dst")
     if asking.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         others = others.join(F.broadcast(asking.select("key").distinct()), "key", "left_semi")
-    short = asking.hint("merge").join(others, ["block", "key"]).where((F.col("_src") != F.col("_dst")) & _near(F.col("a"), F.col("b")))
+    short = asking.hint("merge").join(others, ["block", "key"]).where((F.col("_src") != F.col("_dst")) & (F.length("a") != F.length("b")) & _near(F.col("a"), F.col("b")))
     long_ = _long_pairs(forms).join(label("a", "src"), ["block", "a"]).join(label("b", "dst"), ["block", "b"])
     long_ = long_.where((F.col("_src") != F.col("_dst")) & _near(F.col("a"), F.col("b")))
-    return short.select("src", "dst").union(long_.select("src", "dst")).distinct()
+    return mask_links(open_).union(short.select("src", "dst")).union(long_.select("src", "dst")).distinct()
 
 
 def duplicate_groups(entities: DataFrame, block: str, key: str = "id") -> DataFrame:
