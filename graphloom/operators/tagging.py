@@ -22,26 +22,27 @@ NOUN_TAG = "NN"
 INLINE_LEXICON_ROWS = 5_000
 
 
-def suffix_tag(word: Column, rules: list[tuple[str, str]] = SUFFIX_TAGS) -> Column:
+def suffix_tag(word: Column, rules: list[tuple[str, str]] = SUFFIX_TAGS, number=NUMBER_TAG, noun=NOUN_TAG) -> Column:
     """Digits are numbers; otherwise the first suffix rule that fits; otherwise a noun."""
     # Words below ":" begin with a digit or less: the pattern runs on those only.
-    tag = F.when((word < ":") & word.rlike("^[0-9]+$"), F.lit(NUMBER_TAG))
+    tag = F.when((word < ":") & word.rlike("^[0-9]+$"), F.lit(number))
     for suffix, name in rules:
         tag = tag.when(word.endswith(suffix), F.lit(name))
-    return tag.otherwise(F.lit(NOUN_TAG))
+    return tag.otherwise(F.lit(noun))
 
 
 def lexicon_tag(
-    word: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules: list[tuple[str, str]] = SUFFIX_TAGS
+    word: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules: list[tuple[str, str]] = SUFFIX_TAGS,
+    number=NUMBER_TAG, noun=NOUN_TAG,
 ) -> Column:
     """Tag of a single word from hash-set membership tests: one for the whole lexicon, then one per tag."""
     if not lexicon:
-        return suffix_tag(word, rules)
+        return suffix_tag(word, rules, number, noun)
     known = F
     for name, members in lexicon.items():
         known = known.when(word.isin(members), F.lit(name))
     everything = [member for members in lexicon.values() for member in members]
-    return F.when(word.isin(everything), known).otherwise(suffix_tag(word, rules))
+    return F.when(word.isin(everything), known).otherwise(suffix_tag(word, rules, number, noun))
 
 
 def tagged(tokens: Column, lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules=SUFFIX_TAGS) -> Column:
@@ -222,6 +223,43 @@ def noun_run_counts(
     return counts_by_key(df, key, made)
 
 
+def accepted_phrases(
+    df: DataFrame, keep: list[str], text: str, accept: Callable[[Column], Column], max_n: int = 3,
+    lexicon: dict[str, list[str]] = CLOSED_CLASS_TAGS, rules: list[tuple[str, str]] = SUFFIX_TAGS,
+) -> DataFrame:
+    """``(*keep, sequence)``: the runs of one to ``max_n`` words whose tag list is accepted, each once a row.
+
+    A word is tagged once, by its tag's number. There are few lists of so many tags: the test is made once for each of them, and
+    a run looks its list up. Only accepted runs are put together.
+    """
+    names = sorted({NUMBER_TAG, NOUN_TAG, *lexicon, *(tag for _, tag in rules)})
+    number = {name: at for at, name in enumerate(names)}
+    tag = lambda w: lexicon_tag(
+        w, {number[t]: members for t, members in lexicon.items()}, [(suffix, number[t]) for suffix, t in rules], number[NUMBER_TAG], number[NOUN_TAG]
+    )
+    tokens = df.select(*keep, words(F.col(text)).alias("_tokens"))
+    base = tokens.select(*keep, "_tokens", F.transform("_tokens", tag).alias("_codes"))
+
+    def code(at: Callable[[int], Column], n: int) -> Column:
+        out = at(0)
+        for k in range(1, n):
+            out = out * len(names) + at(k)
+        return out
+
+    def runs(n: int) -> Column:
+        lists = df.sparkSession.range(len(names) ** n).select(
+            "id", F.array(*[F.get(F.split(F.lit(",".join(names)), ","), (F.expr(f"id div {len(names) ** (n - 1 - k)}") % len(names)).cast("int")) for k in range(n)]).alias("tags")
+        )
+        wanted = {row.id for row in lists.where(accept(F.col("tags"))).collect()}
+        known = F.split(F.lit(",".join(str(int(i in wanted)) for i in range(len(names) ** n))), ",")
+        starts = F.when(F.size("_tokens") >= n, F.sequence(F.lit(0), F.size("_tokens") - n))
+        fits = F.filter(starts, lambda i: F.get(known, code(lambda k: F.get("_codes", i + k), n)) == "1")
+        made = F.transform(fits, lambda i: F.concat_ws(" ", *[F.get("_tokens", i + k) for k in range(n)]))
+        return F.coalesce(made, F.array().cast("array<string>"))
+
+    return unroll(base, keep, F.array_distinct(F.concat(*[runs(n) for n in range(1, max_n + 1)])), "sequence")
+
+
 def word_terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """Plain word occurrences ``(key, term)``."""
     return unroll(df, [key], words(F.col(text)), "term")

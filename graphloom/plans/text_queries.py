@@ -362,8 +362,8 @@ def final_cd_check_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f" WHERE starts_with(tags[-1], 'NN')" + "".join(f" AND NOT ({e})" for e in SQL_FLAGS.values()),
 )
 def noun_phrases_three_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    phrases = _tagged(_all_phrases(_phrase_documents(spark, sf_dir)).select("sequence").distinct())
-    return phrases.where(pos.is_noun_phrase(F.col("tags"))).select("sequence", F.array_join("tags", " ").alias("tags"))
+    phrases = tagging.accepted_phrases(_phrase_documents(spark, sf_dir), [], "text", pos.is_noun_phrase).distinct()
+    return _tagged(phrases).select("sequence", F.array_join("tags", " ").alias("tags"))
 
 
 # --- n-grams ----------------------------------------------------------------------------------------------------
