@@ -21,7 +21,9 @@ from graphloom.session import materialize
 #: Rows of a block: as many as leave ``BLOCKS`` of them, within these bounds. Larger blocks send each vector less often.
 BLOCK_ROWS, MAX_BLOCK_ROWS, BLOCKS = 4_096, 65_536, 12
 #: Scores that a task holds at once, and rows that a task hands on at once.
-SCORES_AT_ONCE, PLACED_ROWS = 2_097_152, 16_384
+SCORES_AT_ONCE, PLACED_ROWS = 1_048_576, 16_384
+#: Probes whose scores a task makes together, and what rounding may add to a score at most.
+PROBE_ROWS, ROUNDING = 256, 1e-9
 MAX_CELLS = 1_024
 SCORE_DIGITS = 9
 
@@ -141,23 +143,30 @@ def _best_of_block(block: pd.DataFrame, k: int, cutoff: float) -> pd.DataFrame:
     if not len(homes) or not len(probes):
         return pd.DataFrame({"id": [], "other": [], "score": []})
     home_ids, probe_ids = homes["id"].to_numpy(), probes["id"].to_numpy()
-    right, left = _matrix(homes["v"]).T, _matrix(probes["v"])
-    step = max(1, SCORES_AT_ONCE // len(homes))
-    own, other, score = [], [], []
-    for at in range(0, len(left), step):
-        scores = left[at : at + step] @ right
-        np.round(scores, SCORE_DIGITS, out=scores)
-        for i, row in enumerate(scores, at):
-            near = np.flatnonzero(row >= cutoff)
-            near = near[home_ids[near] != probe_ids[i]]
-            # Homes are in id order and the sort is stable: equal scores keep the smaller id first.
-            near = near[np.argsort(-row[near], kind="stable")[:k]]
-            own.append(np.full(len(near), i))
-            other.append(near)
-            score.append(row[near])
-    return pd.DataFrame(
-        {"id": probe_ids[np.concatenate(own)], "other": home_ids[np.concatenate(other)], "score": np.concatenate(score)}
-    )
+    right, left = np.ascontiguousarray(_matrix(homes["v"]).T), _matrix(probes["v"])
+    parts = [_best_of_rows(left[at : at + PROBE_ROWS], right, probe_ids[at : at + PROBE_ROWS], home_ids, k, cutoff) for at in range(0, len(left), PROBE_ROWS)]
+    return pd.concat(parts, ignore_index=True)
+
+
+def _best_of_rows(left: np.ndarray, right: np.ndarray, probe_ids: np.ndarray, home_ids: np.ndarray, k: int, cutoff: float) -> pd.DataFrame:
+    """The best ``k`` homes of each of some probes. Only scores that can still be among them are rounded and ranked."""
+    bar = np.full((len(left), 1), cutoff - ROUNDING)
+    row, near, score = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+    step = max(1, SCORES_AT_ONCE // len(left))
+    for at in range(0, right.shape[1], step):
+        scores = left @ right[:, at : at + step]
+        found = np.flatnonzero(scores >= bar)
+        own, other = np.divmod(found, scores.shape[1])
+        value = np.round(scores.reshape(-1)[found], SCORE_DIGITS)
+        kept = (value >= cutoff) & (home_ids[other + at] != probe_ids[own])
+        row, near, score = np.append(row, own[kept]), np.append(near, other[kept] + at), np.append(score, value[kept])
+        # Homes are in id order: equal scores keep the smaller id first.
+        order = np.lexsort((near, -score, row))
+        place = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+        bar[row[order][place == k - 1], 0] = score[order][place == k - 1] - ROUNDING
+        order = order[place < k]
+        row, near, score = row[order], near[order], score[order]
+    return pd.DataFrame({"id": probe_ids[row], "other": home_ids[near], "score": score})
 
 
 def _compare_blocks(assigned: DataFrame, k: int, cutoff: float, block_rows: int) -> DataFrame:
